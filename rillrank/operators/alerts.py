@@ -34,10 +34,10 @@ def threshold_alerts(df: DataFrame, threshold: float = fixed.ALERT_THRESHOLD, ti
     alert_no = (F.floor((F.col("_no") - 1) / times) + 1).cast("bigint")
     return (
         numbered.groupBy(key, alert_no.alias("alert_no"))
-        .agg(F.sort_array(F.collect_list(F.struct("_no", value))).alias("_rows"))
+        .agg(F.max(order).alias("last_seq"), F.sort_array(F.collect_list(F.struct("_no", value))).alias("_rows"))
         .filter(F.size("_rows") == times)
         .select(
-            key, "alert_no", alert_message(key).alias("message"),
+            key, "alert_no", "last_seq", alert_message(key).alias("message"),
             F.transform("_rows", lambda r: r[value]).alias("abnormal_values"),
         )
     )

@@ -159,27 +159,30 @@ def count_window_all(df: DataFrame, order: str, size: int, value: str, skew: Ske
     group = F.floor((F.col("_no") - 1) / size).cast("bigint")
     return (
         numbered.groupBy(group.alias("window_no"))
-        .agg(F.sum(value).alias("total"), F.count("*").alias("_n"))
+        .agg(F.max(order).alias("last_seq"), F.sum(value).alias("total"), F.count("*").alias("_n"))
         .filter(F.col("_n") == size).drop("_n")
     )
 
 
 def count_window_slide(df: DataFrame, keys: list[str], order: str, size: int, slide: int, value: str,
-                       skew: Skew = Skew()) -> DataFrame:
+                       skew: Skew = Skew(), carried: Column | None = None) -> DataFrame:
     """At every ``slide``-th row of a key, the sum of its last ``size`` rows (fewer at the start).
 
     Each row goes to the firings it belongs to, so the work per firing is spread by
-    (key, firing) however long a key is.
+    (key, firing) however long a key is. Firings at rows marked ``carried`` are left out.
     """
     numbered = number_rows(df, keys, order, "_no", skew)
-    first = F.ceil(F.col("_no") / slide).cast("bigint") * slide
-    firings = F.filter(
-        F.sequence(first, F.col("_no") + size - 1 + slide, F.lit(slide).cast("bigint")),
-        lambda f: f < F.col("_no") + size,
-    )
+    step = F.lit(slide).cast("bigint")
+    first = F.ceil(F.col("_no") / slide).cast("bigint") * step
+    # The stop lies past the last firing so that the sequence never runs backwards.
+    firings = F.filter(F.sequence(first, F.col("_no") + size - 1 + step, step), lambda f: f < F.col("_no") + size)
     return (
-        numbered.select(*keys, F.col(value).alias("_value"), "_no", F.explode(firings).alias("fired_at"))
+        numbered.select(
+            *keys, F.col(order).alias("_seq"), F.col(value).alias("_value"), "_no",
+            (F.lit(False) if carried is None else carried).alias("_old"), F.explode(firings).alias("fired_at"),
+        )
         .groupBy(*keys, "fired_at")
-        .agg(F.sum("_value").alias("total"), F.max("_no").alias("_last"))
-        .filter(F.col("_last") == F.col("fired_at")).drop("_last")
+        .agg(F.max("_seq").alias("last_seq"), F.sum("_value").alias("total"),
+             F.max("_no").alias("_last"), F.min("_old").alias("_old"))
+        .filter((F.col("_last") == F.col("fired_at")) & ~F.col("_old")).drop("_last", "_old")
     )

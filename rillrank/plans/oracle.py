@@ -31,8 +31,8 @@ ranked AS (
   QUALIFY rank <= 5)"""
 
 
-def _report(order_by: str, measure: str, head: str) -> str:
-    return "WITH " + _ranked(order_by, measure) + f"""
+def _report(order_by: str, measure: str, head: str, closed: bool = False) -> str:
+    return "WITH " + _ranked(order_by, measure, closed) + f"""
 SELECT window_end_ms,
        repeat('=', 36) || chr(10) || {head} || string_agg(
          'No' || (rank - 1) || ': ' || chr(9) || '客户端IP=' || client_ip || ' ' || chr(9) || '会话次数=' || session_num
@@ -97,10 +97,10 @@ WS_SPLIT = r"string_split_regex(body, '[ \t\n\x0B\f\r]')"
 
 ALERTS = """
 WITH breaches AS (
-  SELECT user_id AS key, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS no
+  SELECT user_id AS key, event_id AS seq, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS no
   FROM events WHERE value >= 100),
 placed AS (SELECT *, (no - 1) // 3 + 1 AS alert_no, (no - 1) % 3 AS pos FROM breaches)
-SELECT key, CAST(alert_no AS BIGINT) AS alert_no, key || ' 超过指定阈值 ' AS message, CAST(pos AS BIGINT) AS pos, value
+SELECT key, CAST(alert_no AS BIGINT) AS alert_no, max(seq) OVER (PARTITION BY key, alert_no) AS last_seq, key || ' 超过指定阈值 ' AS message, CAST(pos AS BIGINT) AS pos, value
 FROM placed QUALIFY count(*) OVER (PARTITION BY key, alert_no) = 3"""
 
 RUNNING_CLICKS = """
@@ -120,15 +120,17 @@ LATEST_LARGEST = """
 SELECT CAST(user_id AS VARCHAR) AS word, CAST(max(floor(value)) AS BIGINT) AS largest FROM events GROUP BY user_id"""
 
 COUNT_ALL = "WITH " + NUMBERS + """,
-placed AS (SELECT k, (row_number() OVER (ORDER BY seq) - 1) // 5 AS window_no FROM numbers)
-SELECT CAST(window_no AS BIGINT) AS window_no, CAST(sum(k) AS BIGINT) AS total
+placed AS (SELECT k, seq, (row_number() OVER (ORDER BY seq) - 1) // 5 AS window_no FROM numbers)
+SELECT CAST(window_no AS BIGINT) AS window_no, max(seq) AS last_seq, CAST(sum(k) AS BIGINT) AS total
 FROM placed GROUP BY window_no HAVING count(*) = 5"""
 
 COUNT_SLIDE = "WITH " + NUMBERS + """
-SELECT user_id, row_number() OVER w AS fired_at,
+SELECT user_id, row_number() OVER w AS fired_at, seq AS last_seq,
        CAST(sum(k) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS total
 FROM numbers WINDOW w AS (PARTITION BY user_id ORDER BY seq) QUALIFY fired_at % 2 = 0"""
 
+CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL '5 seconds' FROM events)"
+
 SQL: dict[str, str] = {
     "top_hosts_by_sessions": "WITH " + _ranked("session_num", SESSIONS) + " SELECT * FROM ranked",
     "top_hosts_by_bytes": "WITH " + _ranked("bytes", BYTES) + " SELECT * FROM ranked",
@@ -225,4 +227,33 @@ SQL: dict[str, str] = {
     "latest_largest": LATEST_LARGEST,
     "breach_flags": "SELECT event_id AS seq, 'dsadsad' AS message FROM events WHERE value > 100",
     "threshold_alerts": ALERTS,
+    # Streams replayed to the end: windows are out once max(ts) - 5 s has passed their end.
+    "stream_top_hosts": "WITH " + _ranked("session_num", SESSIONS, closed=True) + " SELECT * FROM ranked",
+    "stream_top_hosts_by_timer": "WITH " + _ranked("session_num", SESSIONS, closed=True) + " SELECT * FROM ranked",
+    "stream_top_hosts_report": _report("packets", PACKETS, "''", closed=True),
+    "stream_word_top_n": _word_top_n(CLOSED),
+    "stream_json_window_count": "WITH " + NUMBERS + f"""
+        SELECT * FROM (
+          SELECT time_bucket(INTERVAL '1 hour', arrival_ts) AS window_start,
+                 time_bucket(INTERVAL '1 hour', arrival_ts) + INTERVAL '1 hour' AS window_end, k, count(*) AS cnt
+          FROM numbers GROUP BY ALL) {CLOSED}""",
+    "stream_window_all_count": "WITH " + LINES + f"""
+        SELECT * FROM (
+          SELECT time_bucket(INTERVAL '1 hour', arrival_ts) AS window_start,
+                 time_bucket(INTERVAL '1 hour', arrival_ts) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+          FROM lines GROUP BY 1, 2) {CLOSED}""",
+    "stream_session_sum": "SELECT * FROM (" + _session(
+        "user_id", "1 hour", "count(*) AS cnt, CAST(sum(k) AS BIGINT) AS total") + f") {CLOSED}",
+    "stream_word_count": LATEST_COUNT,
+    "stream_running_max": LATEST_LARGEST,
+    "stream_breach_flags": "SELECT event_id AS seq, 'dsadsad' AS message FROM events WHERE value > 100",
+    "stream_threshold_alerts": f"SELECT * EXCLUDE (alert_no) FROM ({ALERTS})",
+    "stream_count_window_slide": f"SELECT user_id AS key, fired_at, last_seq, total FROM ({COUNT_SLIDE})",
+    "batched_threshold_alerts": f"SELECT * EXCLUDE (alert_no) FROM ({ALERTS})",
+    "batched_count_window_all": f"SELECT last_seq, total FROM ({COUNT_ALL})",
+    "batched_count_window_slide": f"SELECT user_id, last_seq, total FROM ({COUNT_SLIDE})",
+    "batched_running_sum": "WITH " + NUMBERS + """
+        SELECT seq, user_id, k,
+               CAST(sum(k) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+        FROM numbers""",
 }

@@ -281,7 +281,7 @@ def breach_flags(spark, sf_dir):
 
 
 def unnest_alerts(found: DataFrame) -> DataFrame:
-    rows = found.select("key", "alert_no", "message", F.posexplode("abnormal_values").alias("pos", "value"))
+    rows = found.select("key", "alert_no", "last_seq", "message", F.posexplode("abnormal_values").alias("pos", "value"))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
 
 

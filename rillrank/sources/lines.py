@@ -95,7 +95,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    # As a pattern the path may name a folder or one file; as a plain path only a folder.
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def from_elements(spark: SparkSession, rows: Sequence[tuple],
