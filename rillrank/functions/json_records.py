@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,21 +17,26 @@ class Parsed:
     rejects: DataFrame
 
 
+_FIELD = "_json_"
+
+
 def _parse(df: DataFrame, schema: T.StructType, text: str) -> DataFrame:
+    """The fields beside ``df``, as ``_json_*`` columns.
+
+    They come out of a generator: conditions on them stay above it, so a line is parsed
+    once. Conditions on a projected record would be pushed below it and parse again.
+    """
     record = F.from_json(
         F.col(text), schemas.with_corrupt(schema),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return df.withColumn("_record", record)
+    names = [_FIELD + f.name for f in schema.fields] + [_FIELD + schemas.CORRUPT]
+    return df.select("*", F.inline(F.array(record)).alias(*names))
 
 
-def _is_bad(text: str):
+def _is_bad(text: str) -> Column:
     # Blank text parses to a record of NULLs without a corrupt mark.
-    return (
-        F.col(f"_record.{schemas.CORRUPT}").isNotNull()
-        | F.col(text).isNull()
-        | (F.trim(F.col(text)) == "")
-    )
+    return F.col(_FIELD + schemas.CORRUPT).isNotNull() | F.col(text).isNull() | (F.trim(F.col(text)) == "")
 
 
 def parse_json(df: DataFrame, schema: T.StructType, text: str = "value", mode: str = "permissive") -> Parsed:
@@ -43,16 +48,14 @@ def parse_json(df: DataFrame, schema: T.StructType, text: str = "value", mode: s
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"unknown mode: {mode}")
     parsed = _parse(df, schema, text)
-    fields = [F.col(f"_record.{f.name}").alias(f.name) for f in schema.fields]
-    others = [c for c in df.columns if c != text]
     bad = _is_bad(text)
     if mode == "failfast":
-        checked = parsed.withColumn(
-            "_record",
-            F.when(bad, F.raise_error(F.concat(F.lit("unreadable line: "), F.col(text)))).otherwise(F.col("_record")),
-        )
-        return Parsed(checked.select(*others, *fields), df.filter(F.lit(False)))
-    return Parsed(parsed.filter(~bad).select(*others, *fields), parsed.filter(bad).select(*df.columns))
+        stop = F.raise_error(F.concat(F.lit("unreadable line: "), F.coalesce(text, F.lit("NULL"))))
+        good, rejects = F.when(bad, stop.cast("boolean")).otherwise(True), df.filter(F.lit(False))
+    else:
+        good, rejects = ~bad, parsed.filter(bad).select(*df.columns)
+    fields = [F.col(_FIELD + f.name).alias(f.name) for f in schema.fields]
+    return Parsed(parsed.filter(good).select(*[c for c in df.columns if c != text], *fields), rejects)
 
 
 def parse_traffic(df: DataFrame, text: str = "value", mode: str = "permissive") -> Parsed:

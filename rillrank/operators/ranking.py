@@ -12,10 +12,11 @@ from rillrank.operators.windows import end_millis
 _GROUP_LIMIT = 1000
 _PARTS = 64
 
-ORDERS: dict[str, str] = {
-    "session_num": "session_num",
-    "bytes": "c2s_byte_num + s2c_byte_num",
-    "packets": "c2s_pkt_num + s2c_pkt_num",
+# What hosts are ranked by: the sum of these columns.
+ORDERS: dict[str, list[str]] = {
+    "session_num": ["session_num"],
+    "bytes": ["c2s_byte_num", "s2c_byte_num"],
+    "packets": ["c2s_pkt_num", "s2c_pkt_num"],
 }
 
 HOST_COLUMNS = [
@@ -45,7 +46,7 @@ def top_n(df: DataFrame, groups: list[str], by: Column, tie: str, n: int, out: s
 
 def top_hosts_of_windows(aggregated: DataFrame, order_by: str = "session_num", n: int = fixed.TOP_N) -> DataFrame:
     """Ranked hosts of each window from one row per (window, host)."""
-    ranked = top_n(aggregated, ["window_end"], F.expr(ORDERS[order_by]), "client_ip", n)
+    ranked = top_n(aggregated, ["window_end"], F.expr(" + ".join(ORDERS[order_by])), "client_ip", n)
     return ranked.withColumns(
         {"order_by": F.lit(order_by), "window_end_ms": end_millis(F.col("window_end"))}
     ).select(*HOST_COLUMNS)

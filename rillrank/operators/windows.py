@@ -97,11 +97,16 @@ def _micros(duration: str) -> int:
 
 def tumbling_all_reduce(df: DataFrame, ts: str, size: str, seq: str, word: str = "word",
                         count: str = "cnt") -> DataFrame:
-    """Global windows: the word that came first and the sum of all counts."""
+    """Global windows: the word that came first and the sum of all counts.
+
+    "Word of the smallest seq" has no hash aggregate, so a batch is first reduced by word
+    with one; only a row per window and word is sorted.
+    """
     window = F.window(ts, size).alias("window")
-    return plain_window(df.groupBy(window).agg(
-        F.min_by(word, seq).alias(word), F.sum(count).alias(count)
-    ))
+    if not df.isStreaming:
+        df = df.groupBy(window, word).agg(F.min(seq).alias(seq), F.sum(count).alias(count))
+        window = F.col("window")
+    return plain_window(df.groupBy(window).agg(F.min_by(word, seq).alias(word), F.sum(count).alias(count)))
 
 
 def sessions(df: DataFrame, ts: str, gap: str, measures: Measures, keys: list[str],

@@ -40,10 +40,16 @@ def stream_top_hosts(traffic: DataFrame, path: str, checkpoint: str, order_by: s
 
 def stream_top_hosts_by_timer(traffic: DataFrame, path: str, checkpoint: str, order_by: str = "session_num",
                               n: int = fixed.TOP_N, size: str = fixed.EVENT_WINDOW,
-                              delay: str = fixed.WATERMARK_DELAY, ts: str = "event_time", parts: int = 16,
+                              delay: str = fixed.WATERMARK_DELAY, ts: str = "event_time",
+                              parts: int | None = None,
                               every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
     """Top hosts of each window by a timer after the window's end, with at most ``n`` hosts
-    per part of a window in state. ``stream_top_hosts`` gives the same ranks for less."""
+    per part of a window in state. ``stream_top_hosts`` gives the same ranks for less.
+
+    By default a window has as many parts as let an eighth of the tasks share it.
+    """
+    if parts is None:
+        parts = max(2, int(traffic.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     counted = windows.aggregate_window(
         traffic.withWatermark(ts, delay), ts, size, windows.TRAFFIC_MEASURES, ["client_ip"]
     )

@@ -7,10 +7,14 @@ one key's rows of one micro-batch, which the source's per-trigger limit bounds.
 
 from __future__ import annotations
 
+import heapq
+import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +24,9 @@ from rillrank import fixed
 from rillrank.operators.alerts import alert_message
 
 
+# Processors travel with their code, so that workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Columns on their way to a processor must not start with an underscore: they would arrive renamed.
 
 
@@ -103,10 +110,10 @@ class BestAtWindowEnd(StatefulProcessor):
     """Holds the ``n`` best rows of a window (or of a part of it) and gives them out by an
     event-time timer one millisecond after its end."""
 
-    def __init__(self, n: int, by: str, tie: str, columns: list[str], schema: str):
+    def __init__(self, n: int, by: list[str], tie: str, columns: list[str], schema: str):
         self.n = n
-        self.by = by
-        self.tie = tie
+        self.by = [columns.index(c) for c in by]
+        self.tie = columns.index(tie)
         self.columns = columns
         self.schema = schema
 
@@ -115,16 +122,17 @@ class BestAtWindowEnd(StatefulProcessor):
         self.best = handle.getListState("best", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame(list(self.best.get()), columns=self.columns)
+        held = list(self.best.get())
         for part in rows:
-            both = pd.concat([held, part[self.columns]]) if len(held) else part[self.columns]
-            ranked = both.assign(_by=both.eval(self.by)).sort_values(["_by", self.tie], ascending=[False, True])
-            held = ranked.head(self.n)[self.columns]
-        self.best.put([tuple(v.item() if hasattr(v, "item") else v for v in r)
-                       for r in held.itertuples(index=False)])
+            fresh = zip(*(part[c].tolist() for c in self.columns))
+            held = heapq.nsmallest(self.n, chain(held, fresh), key=self._place)
+        self.best.put(held)
         self.handle.registerTimer(int(key[0]) + 1)
         return iter([])
 
+    def _place(self, row: tuple) -> tuple:
+        return -sum(row[i] for i in self.by), row[self.tie]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = pd.DataFrame(list(self.best.get()), columns=self.columns)
         self.best.clear()
@@ -165,13 +173,13 @@ def count_window_slide(df: DataFrame, key: str, order: str, size: int, slide: in
     )
 
 
-def best_at_window_end(windowed: DataFrame, n: int, by: str, tie: str, columns: list[str],
-                       parts: int = 16) -> DataFrame:
+def best_at_window_end(windowed: DataFrame, n: int, by: list[str], tie: str, columns: list[str],
+                       parts: int) -> DataFrame:
     """The ``n`` best rows of each part of a window, one millisecond after the window's end.
 
     ``windowed`` is a streaming aggregate with its ``window``. A window's rows are spread
     over ``parts`` by a hash of ``tie``; rank the result per ``window_end_ms`` for the final N.
-    ``by`` is a sum of columns, such as ``a + b``.
+    Rows are ordered by the sum of the columns ``by``.
     """
     types = {f.name: f.dataType for f in windowed.schema}
     fields = [T.StructField(c, types[c]) for c in columns]
