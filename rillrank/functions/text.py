@@ -26,8 +26,8 @@ def java_split(text: Column, pattern: str) -> Column:
         return _split_and_cut(text, pattern)
     body = F.rtrim(text, F.lit(trailing))
     return (
-        F.when(F.length(text) == 0, F.array(F.lit("")))
-        .when(F.length(body) == 0, F.array().cast("array<string>"))
+        F.when(text == "", F.array(F.lit("")))
+        .when(body == "", F.array().cast("array<string>"))
         .otherwise(F.split(body, pattern))
     )
 
@@ -38,7 +38,7 @@ def _split_and_cut(text: Column, pattern: str) -> Column:
     # array_position is 1-based from the end; 0 means that every field is empty.
     from_end = F.array_position(filled, True)
     kept = F.when(from_end == 0, 0).otherwise(F.size(parts) - from_end.cast("int") + 1)
-    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.slice(parts, 1, kept))
+    return F.when(text == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, kept))
 
 
 def tokenise(df: DataFrame, pattern: str, text: str = "value", out: str = "word") -> DataFrame:

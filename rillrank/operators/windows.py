@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillrank.operators.ordered import HOT, Skew, chunk_hot_keys, number_rows
+from rillrank.operators.ordered import CHUNK, COUNT, HOT, Skew, chunk_hot_keys, number_rows, running_chunked
 
 # name of the result -> (aggregate, input expression). An aggregate is "count", "sum", "max" or "min":
 # those whose partial results can be aggregated again.
@@ -122,24 +122,26 @@ def sessions(df: DataFrame, ts: str, gap: str, measures: Measures, keys: list[st
 
     # Sessions inside each chunk; only the first and last of a chunk can go on in another.
     gap_us = _micros(gap)
-    local = _islands(chunked.rows, chunked.groups, micros, F.col(micros), gap_us)
+    local = _islands(chunked.rows, chunked.groups, micros, micros, gap_us)
     pieces = local.groupBy(*chunked.groups, HOT, "_island").agg(
         F.min(ts).alias("_start"), F.max(ts).alias("_last"),
         F.min(micros).alias("_start_us"), F.max(micros).alias("_last_us"), *_first(measures),
     )
     last = F.max("_island").over(Window.partitionBy(*chunked.groups))
     edge = F.col(HOT) & ((F.col("_island") == 1) | (F.col("_island") == last))
-    marked = pieces.withColumn("_edge", edge)
-    inner = marked.filter(~F.col("_edge")).select(*keys, "_start", "_last", *measures)
-    # At most two edge sessions per (hot key, chunk).
-    joined = _islands(marked.filter("_edge"), chunked.keys, "_start_us", F.col("_last_us"), gap_us)
-    outer = joined.groupBy(*chunked.keys, "_island").agg(
-        F.min("_start").alias("_start"), F.max("_last").alias("_last"), *_again(measures)
-    ).select(*keys, "_start", "_last", *measures)
-    return inner.unionByName(outer).select(
-        F.col("_start").alias("window_start"),
-        (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("window_end"),
-        *keys, *measures,
+    # Edges of a key meet in slot -1, at most two per chunk; the others stay by chunk, where
+    # each is its own session.
+    slotted = pieces.withColumn("_slot", F.when(edge, -1).otherwise(F.col(CHUNK))).drop("_island")
+    groups = [*chunked.keys, "_slot"]
+    return (
+        _islands(slotted, groups, "_start_us", "_last_us", gap_us)
+        .groupBy(*groups, "_island")
+        .agg(F.min("_start").alias("_start"), F.max("_last").alias("_last"), *_again(measures))
+        .select(
+            F.col("_start").alias("window_start"),
+            (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("window_end"),
+            *keys, *measures,
+        )
     )
 
 
@@ -148,11 +150,10 @@ def _session_window(df: DataFrame, ts: str, gap: str, measures: Measures, keys:
     return plain_window(df.groupBy(window, *keys).agg(*_first(measures)))
 
 
-def _islands(df: DataFrame, groups: list[str], start: str, end: Column, gap_us: int) -> DataFrame:
-    """Numbers runs of rows whose start lies at most the gap after the largest end before."""
+def _islands(df: DataFrame, groups: list[str], start: str, end: str, gap_us: int) -> DataFrame:
+    """Numbers runs of rows that start at most the gap after the row before them ends."""
     ordered = Window.partitionBy(*groups).orderBy(start)
-    before = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(before.isNull() | (F.col(start) - before > gap_us), 1).otherwise(0)
+    opens = F.coalesce(F.col(start) - F.lag(end).over(ordered) > gap_us, F.lit(True)).cast("int")
     return df.withColumn("_opens", opens).withColumn(
         "_island", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).drop("_opens")
@@ -170,22 +171,30 @@ def count_window_all(df: DataFrame, order: str, size: int, value: str, skew: Ske
 
 
 def count_window_slide(df: DataFrame, keys: list[str], order: str, size: int, slide: int, value: str,
-                       skew: Skew = Skew(), carried: Column | None = None) -> DataFrame:
+                       skew: Skew = Skew(), carried: str | None = None) -> DataFrame:
     """At every ``slide``-th row of a key, the sum of its last ``size`` rows (fewer at the start).
 
-    Each row goes to the firings it belongs to, so the work per firing is spread by
-    (key, firing) however long a key is. Firings at rows marked ``carried`` are left out.
+    Firings at rows marked in the ``carried`` column are left out.
     """
-    numbered = number_rows(df, keys, order, "_no", skew)
+    old = F.col(carried) if carried else F.lit(False)
+    rows = df.select(*keys, F.col(order).alias("_seq"), F.col(value).alias("_value"), old.alias("_old"))
+    chunked = chunk_hot_keys(rows, keys, "_seq", skew)
+    numbered = running_chunked(chunked, "_seq", {"_no": (COUNT, F.lit(1))})
+    if not chunked.split:
+        last = Window.partitionBy(*chunked.keys).orderBy("_seq").rowsBetween(1 - size, Window.currentRow)
+        return (
+            numbered.withColumn("total", F.sum("_value").over(last))
+            .filter((F.col("_no") % slide == 0) & ~F.col("_old"))
+            .select(*keys, F.col("_no").alias("fired_at"), F.col("_seq").alias("last_seq"), "total")
+        )
+    # Windows reach over chunks: each row goes to the firings it belongs to, which spreads
+    # the work by (key, firing) however long a key is.
     step = F.lit(slide).cast("bigint")
     first = F.ceil(F.col("_no") / slide).cast("bigint") * step
     # The stop lies past the last firing so that the sequence never runs backwards.
     firings = F.filter(F.sequence(first, F.col("_no") + size - 1 + step, step), lambda f: f < F.col("_no") + size)
     return (
-        numbered.select(
-            *keys, F.col(order).alias("_seq"), F.col(value).alias("_value"), "_no",
-            (F.lit(False) if carried is None else carried).alias("_old"), F.explode(firings).alias("fired_at"),
-        )
+        numbered.select(*keys, "_seq", "_value", "_old", "_no", F.explode(firings).alias("fired_at"))
         .groupBy(*keys, "fired_at")
         .agg(F.max("_seq").alias("last_seq"), F.sum("_value").alias("total"),
              F.max("_no").alias("_last"), F.min("_old").alias("_old"))

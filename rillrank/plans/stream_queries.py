@@ -138,14 +138,14 @@ def stream_count_window_slide(spark, sf_dir, out, checkpoint, _):
 @replay
 def batched_threshold_alerts(spark, sf_dir, out, checkpoint, carried):
     pairs = inputs.as_pairs(_events(spark, sf_dir))
-    return carry.start(pairs, carry.threshold_alerts(), "seq", out, carried, checkpoint, every=None), _unnest
+    return carry.start(pairs, carry.threshold_alerts(), "seq", out, carried, checkpoint, every=None, persist=False), _unnest
 
 
 @replay
 def batched_count_window_all(spark, sf_dir, out, checkpoint, carried):
     numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "k")
     return carry.start(
-        numbers, carry.count_window_all("seq", 5, "k"), "seq", out, carried, checkpoint, every=None
+        numbers, carry.count_window_all("seq", 5, "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
 
 
@@ -153,7 +153,7 @@ def batched_count_window_all(spark, sf_dir, out, checkpoint, carried):
 def batched_count_window_slide(spark, sf_dir, out, checkpoint, carried):
     numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
     return carry.start(
-        numbers, carry.count_window_slide(["user_id"], "seq", 5, 2, "k"), "seq", out, carried, checkpoint, every=None
+        numbers, carry.count_window_slide(["user_id"], "seq", 5, 2, "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
 
 
@@ -161,5 +161,5 @@ def batched_count_window_slide(spark, sf_dir, out, checkpoint, carried):
 def batched_running_sum(spark, sf_dir, out, checkpoint, carried):
     numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
     return carry.start(
-        numbers, carry.running_sum(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None
+        numbers, carry.running_sum(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain

@@ -42,19 +42,25 @@ class Step:
 
 
 def start(df: DataFrame, step: Step, order: str, path: str, carry_path: str, checkpoint: str,
-          every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Rows of later batches follow all rows of earlier ones, as they arrived."""
+          every: str | None = fixed.CHECKPOINT_INTERVAL, persist: bool = True) -> StreamingQuery:
+    """Rows of later batches follow all rows of earlier ones, as they arrived.
+
+    A batch is read several times. ``persist`` keeps it for that, which pays for a broker;
+    for columnar files of any number reading again is the better choice.
+    """
     spark, schema = df.sparkSession, df.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if persist:
+            batch.persist()
         try:
             rows = _with_carried(batch.sparkSession, batch, schema, order, carry_path, batch_id)
             step.emit(rows).write.mode("overwrite").parquet(sinks.batch_path(path, batch_id))
             kept = step.keep(rows).select(*schema.names, BACK)
             kept.write.mode("overwrite").parquet(_slot(carry_path, batch_id))
         finally:
-            batch.unpersist()
+            if persist:
+                batch.unpersist()
 
     return sinks.start(df, write, checkpoint, every=every)
 
@@ -160,7 +166,7 @@ def count_window_slide(keys: list[str], order: str, size: int, slide: int, value
     def emit(rows: DataFrame) -> DataFrame:
         # fired_at counts from the carried rows on, not from the first row of the key.
         return windows.count_window_slide(
-            rows, keys, order, size, slide, value, skew, F.col(CARRIED)
+            rows, keys, order, size, slide, value, skew, CARRIED
         ).drop("fired_at")
 
     def keep(rows: DataFrame) -> DataFrame:

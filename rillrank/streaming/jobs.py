@@ -102,7 +102,8 @@ def stream_sessions(df: DataFrame, path: str, checkpoint: str, gap: str, measure
                     keys: list[str], delay: str = fixed.WATERMARK_DELAY, ts: str = "arrival_ts",
                     every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
     found = windows.sessions(df.withWatermark(ts, delay), ts, gap, measures, keys)
-    return sinks.start(found, sinks.to_files(path), checkpoint, every=every)
+    with sinks.merge_sessions_early(df.sparkSession):
+        return sinks.start(found, sinks.to_files(path), checkpoint, every=every)
 
 
 def stream_word_count(lines: DataFrame, path: str, checkpoint: str, word: str | None = fixed.KEPT_WORD,

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from rillrank import fixed
 
 BATCH = "batch_id"
-_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -66,18 +65,27 @@ def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 @contextmanager
-def single_operator(spark: SparkSession) -> Iterator[None]:
-    """For streams with one stateful operator: a row behind the watermark is always dropped.
-
-    By default lateness is judged by the watermark one batch earlier. The setting is read
-    when the query starts.
-    """
-    before = spark.conf.get(_MULTIPLE, None)
-    spark.conf.set(_MULTIPLE, "false")
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the start of a query, which copies them, put back afterwards."""
+    names = {f"spark.sql.streaming.{name}": value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
     try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_MULTIPLE)
-        else:
-            spark.conf.set(_MULTIPLE, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def single_operator(spark: SparkSession):
+    """For streams with one stateful operator: a row behind the watermark is always dropped.
+
+    By default lateness is judged by the watermark one batch earlier.
+    """
+    return settings(spark, **{"statefulOperator.allowMultiple": "false"})
+
+
+def merge_sessions_early(spark: SparkSession):
+    """Session windows: rows of a task are merged into sessions before the shuffle."""
+    return settings(spark, **{"sessionWindow.merge.sessions.in.local.partition": "true"})
