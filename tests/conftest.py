@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             CHECKPOINT_DIR: str(tmp_path_factory.mktemp("shared")),
