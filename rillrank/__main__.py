@@ -20,7 +20,7 @@ from rillrank.streaming import jobs, processors, sinks
 def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     match args.source:
         case "kafka":
-            spec = KafkaLines(args.servers, args.group, args.topic)
+            spec = KafkaLines(args.servers, args.topic, args.group)
         case "socket":
             host, port = args.servers.rsplit(":", 1)
             spec = SocketLines(host, int(port))
@@ -90,7 +90,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("job", choices=JOBS)
     p.add_argument("--source", choices=["kafka", "socket", "files"], default="kafka")
     p.add_argument("--servers", help="brokers, or host:port of a socket")
-    p.add_argument("--topic", default=fixed.KAFKA_TOPIC)
+    p.add_argument("--topic")
     p.add_argument("--group", default="rillrank")
     p.add_argument("--path", help="text files, or the (seq, key, value) table of the threshold jobs")
     p.add_argument("--out", required=True)

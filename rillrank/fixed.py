@@ -16,7 +16,6 @@ COUNT_WINDOW_SLIDE = 2
 ALERT_THRESHOLD = 100
 ALERT_TIMES = 3
 CHECKPOINT_INTERVAL = "1 second"
-KAFKA_TOPIC = "test-flink"
 KEPT_WORD = "a"
 
 # Texts.

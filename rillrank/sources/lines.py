@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillrank import fixed, schemas
+from rillrank import schemas
 
 
 @dataclass(frozen=True)
 class KafkaLines:
     servers: str
+    topic: str
     group_id: str
-    topic: str = fixed.KAFKA_TOPIC
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = 10_000_000
     extra: dict[str, str] = field(default_factory=dict)

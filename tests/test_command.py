@@ -56,7 +56,7 @@ def test_running_max(start):
 @pytest.mark.parametrize("job", ["word-top-n", "json-window-count", "window-all-count"])
 def test_arrival_time_windows_start(start, job):
     # All lines arrive at once, so no window is closed yet; the job must run and write nothing.
-    assert start(job, [['{"name":"com","age":2}', "hello,flink"]]).count() == 0
+    assert start(job, [['{"name":"com","age":2}', "hello,stream"]]).count() == 0
 
 
 @pytest.mark.parametrize("job, rows", [("threshold-alerts", 3), ("breach-flags", 8)])

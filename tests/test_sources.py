@@ -7,9 +7,9 @@ from rillrank.sources.lines import FileLines, KafkaLines, SocketLines, from_elem
 
 
 def test_kafka_options():
-    spec = KafkaLines("h1:9092,h2:9092", "group", extra={"failOnDataLoss": "false"})
+    spec = KafkaLines("h1:9092,h2:9092", "traffic", "group", extra={"failOnDataLoss": "false"})
     opts = spec.options(streaming=True)
-    assert opts["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and opts["subscribe"] == "test-flink"
+    assert opts["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and opts["subscribe"] == "traffic"
     assert opts["startingOffsets"] == "latest" and opts["kafka.group.id"] == "group"
     assert opts["failOnDataLoss"] == "false" and "maxOffsetsPerTrigger" in opts
     bounded = spec.options(streaming=False)
@@ -24,10 +24,10 @@ def test_socket_options():
 
 def test_text_files_in_batch_and_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.txt").write_text("hello,flink\nhello,world\n")
+    (tmp_path / "in" / "a.txt").write_text("hello,stream\nhello,world\n")
     spec = FileLines(str(tmp_path / "in"))
     batch = read_lines(spark, spec, streaming=False)
-    assert sorted(r.value for r in batch.collect()) == ["hello,flink", "hello,world"]
+    assert sorted(r.value for r in batch.collect()) == ["hello,stream", "hello,world"]
     stream = read_lines(spark, spec, streaming=True)
     assert stream.isStreaming and stream.schema == batch.schema
     query = stream.writeStream.format("memory").queryName("text_lines").trigger(availableNow=True).start()
