@@ -10,7 +10,7 @@ from rillrank.operators.windows import end_millis
 
 # Up to this N, Spark cuts each task's rows to N per group before the shuffle.
 _GROUP_LIMIT = 1000
-_PARTS = 64
+_MIN_PARTS = 64
 
 # What hosts are ranked by: the sum of these columns.
 ORDERS: dict[str, list[str]] = {
@@ -34,7 +34,8 @@ def top_n(df: DataFrame, groups: list[str], by: Column, tie: str, n: int, out: s
     """
     best_first = [by.desc_nulls_last(), F.col(tie).asc()]
     if n > _GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(tie), F.lit(_PARTS))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(tie), F.lit(max(_MIN_PARTS, tasks)))
         parts = Window.partitionBy(*groups, "_part").orderBy(*best_first)
         df = (
             df.withColumn("_part", part).withColumn(out, F.row_number().over(parts))
