@@ -95,13 +95,17 @@ SELECT word, count(*) AS total FROM words GROUP BY word"""
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WS_SPLIT = r"string_split_regex(body, '[ \t\n\x0B\f\r]')"
 
-ALERTS = """
+def _alerts(key: str, threshold: int, times: int) -> str:
+    return f"""
 WITH breaches AS (
-  SELECT user_id AS key, event_id AS seq, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS no
-  FROM events WHERE value >= 100),
-placed AS (SELECT *, (no - 1) // 3 + 1 AS alert_no, (no - 1) % 3 AS pos FROM breaches)
+  SELECT {key} AS key, event_id AS seq, value, row_number() OVER (PARTITION BY {key} ORDER BY event_id) AS no
+  FROM events WHERE value >= {threshold}),
+placed AS (SELECT *, (no - 1) // {times} + 1 AS alert_no, (no - 1) % {times} AS pos FROM breaches)
 SELECT key, CAST(alert_no AS BIGINT) AS alert_no, max(seq) OVER (PARTITION BY key, alert_no) AS last_seq, key || ' 超过指定阈值 ' AS message, CAST(pos AS BIGINT) AS pos, value
-FROM placed QUALIFY count(*) OVER (PARTITION BY key, alert_no) = 3"""
+FROM placed QUALIFY count(*) OVER (PARTITION BY key, alert_no) = {times}"""
+
+
+ALERTS = _alerts("user_id", 100, 3)
 
 RUNNING_CLICKS = """
 WITH """ + LINES + """,
@@ -124,10 +128,22 @@ placed AS (SELECT k, seq, (row_number() OVER (ORDER BY seq) - 1) // 5 AS window_
 SELECT CAST(window_no AS BIGINT) AS window_no, max(seq) AS last_seq, CAST(sum(k) AS BIGINT) AS total
 FROM placed GROUP BY window_no HAVING count(*) = 5"""
 
-COUNT_SLIDE = "WITH " + NUMBERS + """
-SELECT user_id, row_number() OVER w AS fired_at, seq AS last_seq,
+def _count_slide(key: str) -> str:
+    return "WITH " + NUMBERS + f"""
+SELECT {key}, row_number() OVER w AS fired_at, seq AS last_seq,
        CAST(sum(k) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS total
-FROM numbers WINDOW w AS (PARTITION BY user_id ORDER BY seq) QUALIFY fired_at % 2 = 0"""
+FROM numbers WINDOW w AS (PARTITION BY {key} ORDER BY seq) QUALIFY fired_at % 2 = 0"""
+
+
+COUNT_SLIDE = _count_slide("user_id")
+
+
+def _running(aggregate: str, out: str) -> str:
+    return "WITH " + NUMBERS + f"""
+SELECT seq, event_type, k, CAST({aggregate}(k) OVER (
+         PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS {out}
+FROM numbers"""
+
 
 CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL '5 seconds' FROM events)"
 
@@ -176,6 +192,11 @@ SQL: dict[str, str] = {
         FROM lines GROUP BY 1, 2""",
     "session_sum": _session("user_id", "1 hour", "count(*) AS cnt, CAST(sum(k) AS BIGINT) AS total"),
     "session_sum_by_type": _session("event_type", "5 minutes", "CAST(sum(k) AS BIGINT) AS total"),
+    "running_sum_by_type": _running("sum", "total"),
+    "running_max_by_type": _running("max", "largest"),
+    "threshold_alerts_by_type": _alerts("event_type", 20, 7),
+    "count_window_slide_by_type": _count_slide("event_type"),
+    "count_window_all_split": COUNT_ALL,
     "count_window_all": COUNT_ALL,
     "count_window_slide": COUNT_SLIDE,
     "json_parse_defaults": """
