@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillrank import fixed
-from rillrank.operators.ordered import Skew, number_rows
+from rillrank.operators.ordered import Skew, consecutive_groups, values_in_order
 
 
 def breach_flags(df: DataFrame, threshold: float = fixed.ALERT_THRESHOLD, value: str = "value",
@@ -30,14 +30,15 @@ def threshold_alerts(df: DataFrame, threshold: float = fixed.ALERT_THRESHOLD, ti
     if times < 1:
         raise ValueError("times must be at least 1")
     breaches = df.filter(F.col(value) >= threshold).select(key, order, value)
-    numbered = number_rows(breaches, [key], order, "_no", skew)
-    alert_no = (F.floor((F.col("_no") - 1) / times) + 1).cast("bigint")
+    alert_no = F.col("_group") + 1
+    return full_groups(breaches, times, key, order, value, skew).select(
+        key, alert_no.alias("alert_no"), "last_seq", alert_message(key).alias("message"), "abnormal_values"
+    )
+
+
+def full_groups(breaches: DataFrame, times: int, key: str, order: str, value: str, skew: Skew) -> DataFrame:
     return (
-        numbered.groupBy(key, alert_no.alias("alert_no"))
-        .agg(F.max(order).alias("last_seq"), F.sort_array(F.collect_list(F.struct("_no", value))).alias("_rows"))
-        .filter(F.size("_rows") == times)
-        .select(
-            key, "alert_no", "last_seq", alert_message(key).alias("message"),
-            F.transform("_rows", lambda r: r[value]).alias("abnormal_values"),
-        )
+        consecutive_groups(breaches, [key], order, times, skew).groupBy(key, "_group")
+        .agg(F.max(order).alias("last_seq"), values_in_order(value).alias("abnormal_values"))
+        .filter(F.size("abnormal_values") == times)
     )

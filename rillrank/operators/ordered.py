@@ -204,3 +204,14 @@ def number_rows(df: DataFrame, keys: list[str], order: str, out: str = "row_no",
                 skew: Skew = Skew()) -> DataFrame:
     """1-based position of each row in its key; without keys, in the whole table."""
     return running(df, keys, order, {out: (COUNT, F.lit(1))}, skew)
+
+
+def consecutive_groups(df: DataFrame, keys: list[str], order: str, size: int, skew: Skew = Skew()) -> DataFrame:
+    """Adds each row's position ``_no`` in its key and ``_group``, the 0-based run of ``size`` rows it is in."""
+    numbered = number_rows(df, keys, order, "_no", skew)
+    return numbered.withColumn("_group", F.floor((F.col("_no") - 1) / size).cast("bigint"))
+
+
+def values_in_order(value: str) -> Column:
+    """Aggregate of a group of ``consecutive_groups``: its values by position."""
+    return F.transform(F.sort_array(F.collect_list(F.struct("_no", value))), lambda r: r[value])

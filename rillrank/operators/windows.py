@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillrank.operators.ordered import CHUNK, COUNT, HOT, Skew, chunk_hot_keys, number_rows, running_chunked
+from rillrank.operators.ordered import CHUNK, COUNT, HOT, Skew, chunk_hot_keys, consecutive_groups, running_chunked
 
 # name of the result -> (aggregate, input expression). An aggregate is "count", "sum", "max" or "min":
 # those whose partial results can be aggregated again.
@@ -50,7 +50,7 @@ def plain_window(df: DataFrame, column: str = "window") -> DataFrame:
 
 
 def end_millis(window_end: Column) -> Column:
-    """Epoch milliseconds of a window end, for TIMESTAMP and TIMESTAMP_NTZ (read as UTC)."""
+    """Epoch milliseconds of a window end, for TIMESTAMP and TIMESTAMP_NTZ (read in the session zone, UTC here)."""
     return F.unix_millis(window_end.cast("timestamp"))
 
 
@@ -161,10 +161,8 @@ def _islands(df: DataFrame, groups: list[str], start: str, end: str, gap_us: int
 
 def count_window_all(df: DataFrame, order: str, size: int, value: str, skew: Skew = Skew()) -> DataFrame:
     """Sums of every ``size`` consecutive rows of the whole table; a short tail gives nothing."""
-    numbered = number_rows(df, [], order, "_no", skew)
-    group = F.floor((F.col("_no") - 1) / size).cast("bigint")
     return (
-        numbered.groupBy(group.alias("window_no"))
+        consecutive_groups(df, [], order, size, skew).groupBy(F.col("_group").alias("window_no"))
         .agg(F.max(order).alias("last_seq"), F.sum(value).alias("total"), F.count("*").alias("_n"))
         .filter(F.col("_n") == size).drop("_n")
     )

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillrank import fixed
 from rillrank.operators import ordered, windows
-from rillrank.operators.alerts import alert_message
+from rillrank.operators.alerts import alert_message, full_groups
 from rillrank.operators.ordered import Skew
 from rillrank.operators.ranking import top_n
 from rillrank.streaming import sinks
@@ -110,17 +110,11 @@ def _running(keys, order, value, out, measure, aggregate, skew) -> Step:
     return Step(emit, keep)
 
 
-def _groups(rows: DataFrame, keys: list[str], order: str, size: int, skew: Skew) -> DataFrame:
-    """Rows with their group of ``size`` consecutive rows of the key."""
-    numbered = ordered.number_rows(rows, keys, order, "_no", skew)
-    return numbered.withColumn("_group", F.floor((F.col("_no") - 1) / size).cast("bigint"))
-
-
 def _short_groups(rows: DataFrame, keys: list[str], order: str, size: int, skew: Skew) -> DataFrame:
     """The rows of unfinished groups: fewer than ``size`` per key."""
     columns = [c for c in rows.columns if c not in (CARRIED, *keys)]
     lists = (
-        _groups(rows, keys, order, size, skew).groupBy(*keys, "_group")
+        ordered.consecutive_groups(rows, keys, order, size, skew).groupBy(*keys, "_group")
         .agg(F.sort_array(F.collect_list(F.struct("_no", *columns))).alias("_rows"))
         .filter(F.size("_rows") < size)
     )
@@ -137,13 +131,8 @@ def threshold_alerts(threshold: float = fixed.ALERT_THRESHOLD, times: int = fixe
         return rows.filter(F.col(value) >= threshold)
 
     def emit(rows: DataFrame) -> DataFrame:
-        grouped = _groups(breaches(rows), [key], order, times, skew)
-        return (
-            grouped.groupBy(key, "_group")
-            .agg(F.max(order).alias("last_seq"), F.sort_array(F.collect_list(F.struct("_no", value))).alias("_rows"))
-            .filter(F.size("_rows") == times)
-            .select(F.col(key).alias("key"), "last_seq", alert_message(key).alias("message"),
-                    F.transform("_rows", lambda r: r[value]).alias("abnormal_values"))
+        return full_groups(breaches(rows), times, key, order, value, skew).select(
+            F.col(key).alias("key"), "last_seq", alert_message(key).alias("message"), "abnormal_values"
         )
 
     return Step(emit, lambda rows: _short_groups(breaches(rows), [key], order, times, skew))
@@ -152,11 +141,7 @@ def threshold_alerts(threshold: float = fixed.ALERT_THRESHOLD, times: int = fixe
 def count_window_all(order: str, size: int, value: str, skew: Skew = Skew()) -> Step:
     """Sums of every ``size`` consecutive rows of the stream, in one numbering over all tasks."""
     def emit(rows: DataFrame) -> DataFrame:
-        return (
-            _groups(rows, [], order, size, skew).groupBy("_group")
-            .agg(F.max(order).alias("last_seq"), F.sum(value).alias("total"), F.count("*").alias("_n"))
-            .filter(F.col("_n") == size).select("last_seq", "total")
-        )
+        return windows.count_window_all(rows, order, size, value, skew).drop("window_no")
 
     return Step(emit, lambda rows: _short_groups(rows, [], order, size, skew))
 
