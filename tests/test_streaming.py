@@ -199,6 +199,24 @@ def test_carried_steps(feed, name, skew):
     assert as_set(f.written(), *columns) == as_set(want, *columns)
 
 
+def test_a_carried_batch_that_failed_before_its_commit_is_run_again(feed):
+    f = feed(PAIRS)
+    random_pairs(f, files=3, rows=30)
+    def run():
+        finish(carry.start(f.stream(), carry.threshold_alerts(skew=Skew(chunk_rows=5)), "seq",
+                           f.out, f.carry, f.checkpoint, every=None))
+    run()
+    first = as_set(f.written(), "batch_id", *ALERT)
+    commits = f.root / "ck" / "commits"
+    for name in ("2", ".2.crc"):
+        (commits / name).unlink()
+    f.add((10**6, "hot", 500))
+    run()
+    again = as_set(f.written().filter("batch_id <= 2"), "batch_id", *ALERT)
+    assert again == first
+    assert as_set(f.written(), *ALERT) == as_set(alerts.threshold_alerts(f.all()), *ALERT)
+
+
 def test_a_batch_run_twice_changes_nothing(feed, spark):
     f = feed(PAIRS)
     write = sinks.to_files(f.out)
