@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rillrank.plans import inputs
 from rillrank.plans.table_queries import unnest_alerts
-from rillrank.session import ROCKSDB, STATE_STORE, run_dir
+from rillrank.session import STATE_STORE, run_dir
 from rillrank.sources.lines import read_table
 from rillrank.streaming import carry, jobs, processors, sinks
 
@@ -31,7 +31,8 @@ def replay(fn):
     with a function of the written rows."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = run_dir(spark, fn.__name__)
-        spark.conf.set(STATE_STORE, ROCKSDB)
+        for name, value in STATE_STORE.items():
+            spark.conf.set(name, value)
         started, finish = fn(spark, sf_dir, f"{base}/out", f"{base}/checkpoint", f"{base}/carry")
         started.awaitTermination()
         return finish(sinks.read_batches(spark, f"{base}/out"))

@@ -8,8 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State larger than memory, and per trigger only its changes are uploaded.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "rillrank", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,7 +28,7 @@ def build_session(app: str = "rillrank", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        STATE_STORE: ROCKSDB,
+        **STATE_STORE,
         **conf,
     }
     for name, value in settings.items():
