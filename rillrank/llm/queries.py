@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import quality, urls
+from rillrank.llm import packing, quality, token_files, urls
 from rillrank.plans.inputs import table
+from rillrank.session import run_dir
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -21,6 +23,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "dup_line_chars", *quality.GRAM_COLUMNS)
 
 
+def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "token-planes")
+    token_files.write_tokens(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "sequence_tokens")
+
+
 #: Fixed values of the query.
 URL_RULES = (
     urls.Rule("allow", "org", "/"),
@@ -41,6 +55,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_planes": op5_token_planes,
     "op8_quality_rules": op8_quality_rules,
+    "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
 }
