@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import packing, quality, token_files, urls
+from rillrank.llm import language, packing, quality, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -17,6 +17,18 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
 
 
+def _held_out(parts: int):
+    """Rows whose crc32 of the id as text leaves 2; rows without an id are not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == 2, F.lit(False))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = _documents(spark, sf_dir, "doc_id", "text", "lang").where(~_held_out(4))
+    model = language.fit(labelled)
+    return language.predict(_documents(spark, sf_dir), model).select(
+        "doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_verdict(_documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,6 +68,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_planes": op5_token_planes,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
