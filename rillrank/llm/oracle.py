@@ -17,7 +17,28 @@ canon AS (
 )
 """
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 SQL: dict[str, str] = {
+    "op3_substring_dedup": f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS key
+  FROM docs, unnest(range(1, len(w) - 48)) AS t(i)
+),
+firsts AS (SELECT key, min(doc_id) AS first FROM windows GROUP BY key),
+late AS (SELECT doc_id, i FROM windows JOIN firsts USING (key) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM late, unnest(range(0, 50)) AS t(j)),
+kept AS (
+  SELECT d.doc_id, d.i, d.word
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs) d
+  ANTI JOIN gone g ON d.doc_id = g.doc_id AND d.i = g.i
+),
+joined AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS rest FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN joined USING (doc_id)
+""",
     "op10_url_filters": f"""
 WITH {_URLS},
 rules(rule_verdict, rule_host, rule_path) AS (

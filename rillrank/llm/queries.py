@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import language, packing, quality, token_files, urls
+from rillrank.llm import language, packing, quality, substrings, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -35,6 +35,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "dup_line_chars", *quality.GRAM_COLUMNS)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(_documents(spark, sf_dir))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "token-planes")
     token_files.write_tokens(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -67,6 +72,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_token_planes": op5_token_planes,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
