@@ -38,6 +38,33 @@ joined AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS res
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(rest, '')) AS kept_sha256
 FROM docs LEFT JOIN joined USING (doc_id)
+""",
+    "op4_near_dup": f"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.seen = e.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM docs d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """,
     "op10_url_filters": f"""
 WITH {_URLS},

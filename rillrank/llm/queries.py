@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import language, packing, quality, substrings, token_files, urls
+from rillrank.llm import language, near_dup, packing, quality, substrings, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -40,6 +40,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_documents(spark, sf_dir), percent=85)
+
+
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "token-planes")
     token_files.write_tokens(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -73,6 +77,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_near_dup": op4_near_dup,
     "op5_token_planes": op5_token_planes,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
