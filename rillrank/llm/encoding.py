@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,45 +21,50 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-MAX_PIECES = 1 << 20
+MAX_PIECES = 3 << 18
+GROUP_CHARS = 1 << 20
 JOINED = 256
 WORD_END = "</w>"
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-_OTHER_SPACE = re.compile(r"[^\S \t-\r]|[\x1c-\x1f\x85]")
+#: Where one of these stands beside another space or at an end, pieces are found by pattern.
+_ODD_SPACES = (b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\x0b", b"\x0c", b"\r", b"\x00")
+#: White space beyond ASCII, and the ASCII separators that some engines count as white space.
+_OTHER_SPACES = ("\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
 
 
 class Encoder:
-    """Ids of a batch of texts. `end_id` is appended to each text; null texts are empty."""
+    """Ids of texts. `end_id` is appended to each text; null texts are empty."""
 
     def __init__(self, path: str, end_id: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id = end_id
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
+        self.end = np.array([end_id], "<u4").tobytes()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab()
         self.word_ends = any(t.endswith(WORD_END) for t in names)
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for token, i in names.items():
             self.bytes_of[i] = len(token.removesuffix(WORD_END) if self.word_ends else token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.begin = np.zeros((1 << 16) + 1, np.int64)
+        self.known: dict[bytes, bytes] = {}
 
     def _cut(self, text: str | None) -> list[bytes] | None:
         """Pieces of a text; None if it must be encoded whole."""
         if not text:
             return []
-        if _OTHER_SPACE.search(text) or self.special.search(text):
+        if any(x in text for x in (_OTHER_SPACES[:4] if text.isascii() else _OTHER_SPACES)) or any(
+                x in text for x in self.special):
             return None
-        return text.encode().lower().split() if self.word_ends else _PIECES.findall(text.encode())
+        raw = text.encode()
+        if self.word_ends:
+            return raw.lower().split()
+        if raw[0] <= 0x20 or raw[-1] <= 0x20 or any(x in raw for x in _ODD_SPACES):
+            return _PIECES.findall(raw)
+        return raw.replace(b" ", b"\x00 ").replace(b"\n", b"\x00\n").split(b"\x00")
 
     def _joins(self, piece: bytes) -> bool:
         """Whether a piece keeps its tokens, and they its bytes, between others like it."""
-        return piece.isascii() if self.word_ends else piece[0] <= 0x20 < piece[-1]
+        return piece.isascii() if self.word_ends else piece[0] in b" \t\n\x0b\x0c\r" and piece[-1] not in b" \t\n\x0b\x0c\r"
 
     def _learn(self, pieces: list[bytes]) -> None:
         joined = [p for p in pieces if self._joins(p)]
@@ -67,48 +73,40 @@ class Encoder:
         space = b" " if self.word_ends else b""
         got = self.tokenizer.encode_batch_fast([space.join(b).decode() for b in blocks], add_special_tokens=False)
         for block, x in zip(blocks, got, strict=True):
-            ids = np.array(x.ids, np.uint32)
+            ids = np.array(x.ids, "<u4")
             ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p) for p in block])) + 1
-            self._store(block, ids, ends)
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(block, (4 * ends).tolist(), strict=True):
+                self.known[piece] = raw[begin:end]
+                begin = end
         got = self.tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)
-        ids = [x.ids for x in got]
-        self._store(alone, np.fromiter((i for x in ids for i in x), np.uint32),
-                    np.cumsum([len(x) for x in ids], dtype=np.int64))
-
-    def _store(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        """Keeps pieces whose ids end at `ends` of `ids`."""
-        first = len(self.place)
-        last, begun = first + len(pieces), self.begin[first]
-        if last >= len(self.begin):
-            self.begin = np.resize(self.begin, 2 * last + 1)
-        if begun + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * int(begun + len(ids)))
-        self.begin[first + 1:last + 1] = begun + ends
-        self.ids[begun:begun + len(ids)] = ids
-        self.place.update(zip(pieces, range(first, last), strict=True))
-
-    def _whole(self, text: str) -> np.ndarray:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array([*ids, self.end_id], np.uint32)
-
-    def _pieced(self, pieces: list[bytes]) -> np.ndarray:
-        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-        begin, length = self.begin[at], self.begin[at + 1] - self.begin[at]
-        n = int(length.sum())
-        out = np.empty(n + 1, np.uint32)
-        skipped = np.cumsum(length) - length
-        out[:n] = self.ids[np.repeat(begin - skipped, length) + np.arange(n)]
-        out[n] = self.end_id
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        for piece, x in zip(alone, got, strict=True):
+            self.known[piece] = np.array(x.ids, "<u4").tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text in order, a group of texts at a time: pieces of one group are held at once."""
+        group: list[str | None] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         cut = [self._cut(x) for x in texts]
-        if len(self.place) > MAX_PIECES:
-            self._forget()
-        new = list(dict.fromkeys(p for x in cut if x for p in x if p not in self.place))
-        if new:
-            self._learn(new)
-        return [self._whole(x) if p is None else self._pieced(p) for x, p in zip(texts, cut, strict=True)]
+        if len(self.known) > MAX_PIECES:
+            self.known.clear()
+        self._learn(list(set().union(*filter(None, cut)).difference(self.known)))
+        known = self.known.__getitem__
+        for text, pieces in zip(texts, cut, strict=True):
+            raw = self._whole(text) if pieces is None else b"".join(map(known, pieces))
+            yield np.frombuffer(raw + self.end, "<u4")
 
 
 @lru_cache(maxsize=4)

@@ -25,6 +25,7 @@ from rillrank.llm.encoding import encoder
 
 GROUP_DOCS = 2048
 HELD_DOCS = 4096
+OUT_PIECES = 1000
 #: Room below this many tokens is left as padding; no piece is cut shorter to fill it.
 SHORTEST_CUT = 16
 
@@ -136,7 +137,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = 4096, id_colu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = None
         for batch in batches:
-            encoded = encoder(tokenizer, end_id).encode(batch.column("text").to_pylist())
+            encoded = encoder(tokenizer, end_id).encode(x.as_py() for x in batch.column("text"))
             out: list[dict] = []
             for number, doc, ids in zip(batch.column("number").to_pylist(), batch.column("doc_id").to_pylist(),
                                         encoded, strict=True):
@@ -144,6 +145,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = 4096, id_colu
                     out += group.flush() if group else []
                     group = _Group(number, room)
                 out += group.add(doc, ids)
+                if len(out) >= OUT_PIECES:
+                    yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+                    out = []
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
         if group:

@@ -1,6 +1,6 @@
 """Token ids in files of bit- or byte-plane blocks.
 
-`write_tokens` encodes texts and writes their ids, in ascending order of id and text, as blocks of
+`write_tokens` encodes texts and writes their ids, in ascending order of id, as blocks of
 BLOCK_IDS ids. A block's ids are transposed into planes (all first bytes, all second bytes, ... or all
 first bits, ...), each plane is compressed with zstandard, and the planes stand behind a small header.
 A table of blocks and a chunk index lie in the given folder:
@@ -12,7 +12,7 @@ A table of blocks and a chunk index lie in the given folder:
 Both are Parquet folders, since Spark's committer is what makes a write survive a lost executor on any
 shared store; payloads are opaque bytes. Parts are ranges of ids, so the index can be searched.
 
-Null texts are empty and give the end id only. Null ids come first. Equal ids are ordered by text, and
+Null texts are empty and give the end id only. Null ids come first. Equal ids are ordered by a hash of the text, and
 repeated rows are written as often as they occur. An empty table gives an empty, readable output.
 Other input columns are ignored.
 """
@@ -108,13 +108,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     if plane_bits not in (1, 8):
         raise ValueError("planes hold bits (1) or bytes (8)")
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    ordered = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    # Equal ids are told apart by a hash, so that a run of them can be cut into several ranges.
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
     schema = _block_schema()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(block_ids, plane_bits)
         for batch in batches:
-            encoded = encoder(tokenizer, end_id).encode(batch.column("text").to_pylist())
+            encoded = encoder(tokenizer, end_id).encode(x.as_py() for x in batch.column("text"))
             for doc, ids in zip(batch.column("id").to_pylist(), encoded, strict=True):
                 for row in blocks.add(doc, ids):
                     yield pa.RecordBatch.from_pylist([row], schema=schema)
