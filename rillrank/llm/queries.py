@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import language, near_dup, packing, quality, substrings, token_files, urls
+from rillrank.llm import language, lm, near_dup, packing, quality, substrings, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -35,6 +35,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "dup_line_chars", *quality.GRAM_COLUMNS)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = lm.fit(docs.where(~_held_out(7)))
+    return lm.score(docs, model).select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known",
+                                        "train_tokens", "base_score", "score")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(_documents(spark, sf_dir))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -76,6 +83,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_near_dup": op4_near_dup,
     "op5_token_planes": op5_token_planes,
