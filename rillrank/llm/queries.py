@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import language, lm, near_dup, packing, quality, substrings, token_files, urls
+from rillrank.llm import decontaminate, language, lm, near_dup, packing, quality, substrings, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -57,6 +57,10 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path).withColumnRenamed("id", "doc_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_near_dup": op4_near_dup,
     "op5_token_planes": op5_token_planes,
+    "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
