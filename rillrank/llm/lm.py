@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillrank.llm.tables import saved
-from rillrank.llm.words import lower_words, mix, word_hashes
+from rillrank.llm.words import mix, text_hashes
 
 BASE = 1.6
 MAX_LEVEL = 63
@@ -159,7 +159,7 @@ class Model:
 
 
 def _tokens(text: str | None) -> np.ndarray:
-    return np.append(word_hashes(lower_words(text)), END)
+    return np.append(text_hashes(text, lower=True), END)
 
 
 def _pairs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

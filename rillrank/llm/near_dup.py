@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rillrank.llm.graph import components
 from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
-from rillrank.llm.words import lower_words, window_hashes, word_hashes
+from rillrank.llm.words import text_hashes, window_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 36, 7
@@ -52,12 +52,11 @@ _PLUS = _RNG.integers(0, 1 << 63, BUCKETS, dtype=np.uint64) * np.uint64(2)
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the runs of `size` words."""
-    parts = lower_words(text)
-    if not parts:
-        return np.empty(0, np.uint64)
-    hashes = word_hashes(parts)
-    return np.unique(window_hashes(hashes, min(size, len(parts))) if len(parts) >= size
-                     else window_hashes(hashes, len(parts)) + np.uint64(len(parts)))
+    hashes = text_hashes(text, lower=True)
+    n = len(hashes)
+    if n >= size:
+        return np.unique(window_hashes(hashes, size))
+    return window_hashes(hashes, n) + np.uint64(n) if n else hashes
 
 
 def registers(values: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillrank.llm.words import SPACES, covered, repeated, window_hashes, word_hashes, words
+from rillrank.llm.words import SPACES, covered, repeated, text_hashes, window_hashes
 
 #: The largest share of characters inside repeated n-grams, by n. The first occurrence counts too, so
 #: one heading that stands twice in a short text stays well below.
@@ -36,8 +36,9 @@ GRAM_COLUMNS = [f"dup_{n}gram_chars" for n in NGRAM_LIMITS]
 
 def measure(text: str | None) -> list[int]:
     """COUNTS, then GRAM_COLUMNS, of one text."""
-    parts = words(text)
-    if not parts:
+    hashes = text_hashes(text)
+    n = len(hashes)
+    if not n:
         return [0, 0, sum(map((text or "").count, SYMBOLS)), 0, 0, 0] + [0] * len(GRAM_COLUMNS)
     raw = np.frombuffer(text.encode("utf-8"), np.uint8)
     inside = ~SPACES[raw]
@@ -50,7 +51,6 @@ def measure(text: str | None) -> list[int]:
         if line in seen:
             line_chars += sum(map(len, line.translate(_NO_SPACES).split()))
         seen.add(line)
-    hashes, n = word_hashes(parts), len(parts)
     grams, base = [], 0
     # A repeated n-gram begins with a repeated shorter one, so each length looks only at those.
     starts = np.arange(n)

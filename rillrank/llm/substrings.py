@@ -32,22 +32,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
-from rillrank.llm.words import covered, window_hashes, word_hashes, words
+from rillrank.llm.words import covered, text_hashes, window_hashes, words
 
 MIN_WORDS = 50
+PLACES = 1 << 24
 RESULT = ["kept_text", "n_words", "n_removed", "removed"]
 _SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
 
 
 def winnow(hashes: np.ndarray, min_words: int) -> np.ndarray:
-    """For each window of `min_words` words, where its anchor begins."""
+    """For each window of `min_words` words, where its anchor begins.
+
+    Anchors are compared by 40 bits, and the leftmost of equals is taken: hash and place share a number,
+    whose minimum over a window comes from the minima over its halves.
+    """
     size = min_words // 2
     grams = window_hashes(hashes, size)
     width = min_words - size + 1
-    if len(grams) < width:
+    n = len(grams) - width + 1
+    if n <= 0:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, width)
-    return views.argmin(axis=1) + np.arange(len(views))
+    if len(grams) > PLACES:  # places would repeat; a stretch holds the next one's first windows
+        half = PLACES // 2
+        return np.concatenate([i + winnow(hashes[i:i + half + min_words - 1], min_words) for i in range(0, n, half)])
+    low, length = np.uint64(PLACES - 1), 1
+    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    while 2 * length <= width:
+        least, length = np.minimum(least[:-length], least[length:]), 2 * length
+    if length < width:
+        least = np.minimum(least[:n], least[width - length:width - length + n])
+    return (least[:n] & low).astype(np.int64)
 
 
 def runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -62,7 +76,7 @@ def _anchors(rows: DataFrame, min_words: int) -> DataFrame:
                 batch = whole.slice(at, 500)
                 anchors, docs, rids, places = [], [], [], []
                 for doc, rid, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "rid", "text")), strict=True):
-                    hashes = word_hashes(words(text))
+                    hashes = text_hashes(text)
                     place = np.unique(winnow(hashes, min_words))
                     if len(place):
                         anchors.append(window_hashes(hashes, min_words // 2)[place].view(np.int64))
@@ -112,14 +126,14 @@ def _along(hashes: np.ndarray, other: np.ndarray, shift: int, min_words: int) ->
 
 def _extend(doc: int, rid: int, text: str, links: list[dict], min_words: int):
     """Covered runs, and the hashes and starts of windows their anchors' first holders do not hold."""
-    hashes = word_hashes(words(text))
+    hashes = text_hashes(text)
     anchor, n = winnow(hashes, min_words), len(hashes)
     remove, rest = np.zeros(len(anchor), dtype=bool), np.zeros(len(anchor), dtype=bool)
     for link in links:
         if link["segment"] is None:
             other, shift = hashes, link["diagonal"]
         else:
-            other, shift = word_hashes(words(link["segment"])), link["begin"] + link["diagonal"]
+            other, shift = text_hashes(link["segment"]), link["begin"] + link["diagonal"]
         equal = _along(hashes, other, shift, min_words)
         if link["first_doc"] < doc:
             remove |= equal

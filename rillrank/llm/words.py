@@ -7,9 +7,8 @@ A word is a maximal run of bytes other than space and the controls 0x09-0x0D, wh
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-MAX_REMEMBERED = 1 << 20
+PIECE_BYTES = 1 << 19
 MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -26,20 +25,51 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").lower().split() if text else []
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+_TABLE = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_powers = {1: np.ones(1, np.uint64), -1: np.ones(1, np.uint64)}
 
 
-_hashes = _Hashes()
+def _power(n: int, sign: int) -> np.ndarray:
+    """MULTIPLIER to the powers 0, 1, ... (or 0, -1, ...), at least n of them."""
+    if len(_powers[sign]) < n:
+        factors = np.full(max(n, PIECE_BYTES), pow(MULTIPLIER, sign, _MASK + 1), np.uint64)
+        factors[0] = 1
+        _powers[sign] = np.multiply.accumulate(factors)
+    return _powers[sign][:n]
 
 
-def word_hashes(parts: list[bytes]) -> np.ndarray:
-    """A 64-bit hash per word. Frequent words come from a bounded memo of the task's process."""
-    if len(_hashes) > MAX_REMEMBERED:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, parts), np.uint64, len(parts))
+def _hashes_of(raw: np.ndarray) -> np.ndarray:
+    inside = ~SPACES[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begin, end = edges[::2], edges[1::2]
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_TABLE[raw] * _power(len(raw), 1), out=total[1:])
+    return mix((total[end] - total[begin]) * _power(len(raw), -1)[begin] + (end - begin).astype(np.uint64))
+
+
+def text_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash per word of a text, in order, whatever the words around it.
+
+    A polynomial over the word's bytes, taken from running sums over the whole text. Long texts are
+    cut at spaces, so the sums stay short.
+    """
+    if not text:
+        return np.empty(0, np.uint64)
+    raw = np.frombuffer(text.encode("utf-8").lower() if lower else text.encode("utf-8"), np.uint8)
+    if len(raw) <= PIECE_BYTES:
+        return _hashes_of(raw)
+    spaces, parts, begin = np.flatnonzero(SPACES[raw]), [], 0
+    while begin < len(raw):
+        end = len(raw)
+        if begin + PIECE_BYTES < end:
+            i = np.searchsorted(spaces, begin + PIECE_BYTES)
+            if i and spaces[i - 1] > begin:
+                end = int(spaces[i - 1])
+            elif i < len(spaces):  # one word longer than a piece
+                end = int(spaces[i])
+        parts.append(_hashes_of(raw[begin:end]))
+        begin = end
+    return np.concatenate(parts)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
