@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rillrank.llm import licenses
+
 _URLS = r"""
 cut AS (
   SELECT page_id,
@@ -19,7 +21,41 @@ canon AS (
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_TEMPLATES = ", ".join(f"({_text(name)}, {_text(notice)}, {size}, {licenses.step_of(size)}, {licenses.width_of(size)})"
+                       for name, notice in licenses.TEMPLATES.items()
+                       for size in [licenses.class_of(len(
+                           "".join(c if c.isalnum() else " " for c in notice).split()))])
+
+_LICENSE_SHINGLES = """
+  SELECT {key}, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT {key}, regexp_extract_all(lower({text}), '[^\\x00-\\x08\\x0E-\\x1F\\x7F\\x09-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]+') AS w FROM {table}),
+       unnest(range(1, greatest(len(w) - 3, 1))) AS t(i)
+"""
+
 SQL: dict[str, str] = {
+    "op1_license_scan": f"""
+WITH templates(license, notice, size, step, width) AS (VALUES {_TEMPLATES}),
+wanted AS MATERIALIZED (SELECT DISTINCT license, s FROM ({_LICENSE_SHINGLES.format(key='license', text='notice', table='templates')})),
+held AS MATERIALIZED ({_LICENSE_SHINGLES.format(key='doc_id', text='coalesce(text, %s)' % "''", table='documents')}),
+meets AS (SELECT h.doc_id, w.license, h.place, h.s FROM held h JOIN wanted w USING (s)),
+windows AS (
+  SELECT m.doc_id, m.license, k * t.step AS start, count(DISTINCT m.s) AS n
+  FROM meets m JOIN templates t USING (license),
+       unnest(range(greatest(0, CAST(ceil((m.place - t.width + 1) / t.step) AS BIGINT)), m.place // t.step + 1)) AS u(k)
+  GROUP BY ALL
+),
+shares AS (
+  SELECT doc_id, license, start, n / t.all_of AS share
+  FROM windows JOIN (SELECT license, count(*) AS all_of FROM wanted GROUP BY license) t USING (license)
+  WHERE n / t.all_of >= 0.8
+)
+SELECT doc_id, license, max(share) AS containment, CAST(arg_max(start, share * 1e9 - start) AS BIGINT) AS first_word
+FROM shares GROUP BY doc_id, license
+""",
     "op3_substring_dedup": f"""
 WITH docs AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
 windows AS MATERIALIZED (

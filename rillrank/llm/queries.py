@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import decontaminate, language, lm, near_dup, packing, quality, substrings, token_files, urls
+from rillrank.llm import decontaminate, language, licenses, lm, near_dup, packing, quality, substrings, token_files, urls
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -35,6 +35,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "dup_line_chars", *quality.GRAM_COLUMNS)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = lm.fit(docs.where(~_held_out(7)))
@@ -87,6 +91,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_near_dup": op4_near_dup,
