@@ -73,15 +73,15 @@ def has_letter(text: str | None) -> bool:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 300, penalty: float = 1e-4) -> np.ndarray:
     """Weights with the bias last; y is +1 or -1, both sides weigh the same. Accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    x, y = np.hstack([x, np.ones((len(x), 1), np.float32)]), y.astype(np.float32)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w = before = np.zeros(x.shape[1], np.float32)
     step = 1 / (4 + penalty)
     for t in range(rounds):
-        at = w + (t / (t + 3)) * (w - before)
+        at = w + np.float32(t / (t + 3)) * (w - before)
         slack = np.maximum(0, 1 - y * (x @ at)) * y * weight
-        before, w = w, at - step * (penalty * at - 2 * (slack @ x))
-    return w.astype(np.float32)
+        before, w = w, at - np.float32(step) * (np.float32(penalty) * at - 2 * (slack @ x))
+    return w
 
 
 @dataclass
