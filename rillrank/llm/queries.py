@@ -17,16 +17,16 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
 
 
-def _held_out(parts: int):
+def held_out(parts: int):
     """Rows whose crc32 of the id as text leaves 2; rows without an id are not held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == 2, F.lit(False))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = _documents(spark, sf_dir, "doc_id", "text", "lang").where(~_held_out(4))
+    labelled = _documents(spark, sf_dir, "doc_id", "text", "lang").where(~held_out(4))
     model = language.fit(labelled)
     return language.predict(_documents(spark, sf_dir), model).select(
-        "doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
+        "doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    model = lm.fit(docs.where(~_held_out(7)))
-    return lm.score(docs, model).select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known",
+    model = lm.fit(docs.where(~held_out(7)))
+    return lm.score(docs, model).select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known",
                                         "train_tokens", "base_score", "score")
 
 
