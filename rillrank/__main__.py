@@ -25,7 +25,7 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             host, port = args.servers.rsplit(":", 1)
             spec = SocketLines(host, int(port))
         case _:
-            spec = FileLines(args.path)
+            spec = FileLines(args.path, args.files_per_trigger)
     return read_lines(spark, spec, streaming=True)
 
 
@@ -102,7 +102,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--word", default=fixed.KEPT_WORD)
     p.add_argument("--threshold", type=int, default=fixed.ALERT_THRESHOLD)
     p.add_argument("--times", type=int, default=fixed.ALERT_TIMES)
-    p.add_argument("--files-per-trigger", type=int, default=200)
+    p.add_argument("--files-per-trigger", type=int, help="no limit if not given")
     p.add_argument("--failfast", action="store_true", help="stop at an unreadable line")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
     return p.parse_args(argv)

@@ -7,6 +7,9 @@ is taken from one small row per chunk. Keys below the limit keep the plain windo
 
 The order column must be integral and unique per key; rows of equal order would have
 no defined sequence in any engine.
+
+Sums of integers and decimals are exact. Floating values are summed as DECIMAL(38,12), so that
+totals are the same however a key is split; values beyond its range, NaN and infinities count as NULL.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 HOT = "_hot"
@@ -138,6 +142,9 @@ class Measure:
 
 SUM = Measure(F.sum, F.sum, lambda here, before: F.coalesce(here + before, here, before))
 MAX = Measure(F.max, F.max, lambda here, before: F.greatest(here, before))
+# One digit less on either side, so that their sum keeps its scale.
+_EXACT_SUM = Measure(lambda c: F.sum(c.try_cast("decimal(38,12)")), F.sum, lambda here, before: F.coalesce(
+    here.cast("decimal(37,12)") + before.cast("decimal(37,12)"), here, before))
 COUNT = Measure(F.count, F.sum, lambda here, before: here + F.coalesce(before, F.lit(0)))
 
 
@@ -149,6 +156,19 @@ def running(df: DataFrame, keys: list[str], order: str,
 
 
 def running_chunked(chunked: Chunked, order: str, measures: dict[str, tuple[Measure, Column]]) -> DataFrame:
+    floats = _float_sums(chunked.rows, measures)
+    measures = {n: (_EXACT_SUM if n in floats else m, c) for n, (m, c) in measures.items()}
+    out = _running_chunked(chunked, order, measures)
+    return out.withColumns({n: F.col(n).cast("double") for n in floats}) if floats else out
+
+
+def _float_sums(rows: DataFrame, measures: dict[str, tuple[Measure, Column]]) -> list[str]:
+    """Sums of floating values depend on how rows are grouped; these are computed in decimals."""
+    return [n for n, (m, c) in measures.items()
+            if m is SUM and isinstance(rows.select(c).schema[0].dataType, (T.DoubleType, T.FloatType))]
+
+
+def _running_chunked(chunked: Chunked, order: str, measures: dict[str, tuple[Measure, Column]]) -> DataFrame:
     groups = chunked.groups if chunked.split else chunked.keys
     here = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = chunked.rows.withColumns({n: m.aggregate(c).over(here) for n, (m, c) in measures.items()})

@@ -6,8 +6,9 @@ All forms work on batch and streaming DataFrames except where said. Results carr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from rillrank.operators.ordered import CHUNK, COUNT, HOT, Skew, chunk_hot_keys, consecutive_groups, running_chunked
 
@@ -75,8 +76,8 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, measures: Measures,
     DataFrame is first reduced to one row per slide and key, so that the copies are made
     of reduced rows and not of the input.
     """
-    overlap = _micros(size) / _micros(slide)
-    if df.isStreaming or overlap < panes_from or not overlap.is_integer():
+    overlap = 1.0 if df.isStreaming else _micros(df.sparkSession, size) / _micros(df.sparkSession, slide)
+    if overlap < panes_from or not overlap.is_integer():
         return plain_window(aggregate_window(df, ts, size, measures, keys, slide))
     keys = keys or []
     panes = aggregate_window(df, ts, slide, measures, keys).withColumn("_pane", F.col("window.start")).drop("window")
@@ -84,15 +85,15 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, measures: Measures,
     return plain_window(panes.groupBy(window, *keys).agg(*_again(measures)))
 
 
-_UNITS = {
-    "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-    "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000,
-}
+def _micros(spark: SparkSession, duration: str) -> int:
+    """Microseconds of any duration that a window accepts, as Spark reads it."""
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return spark.sql(f"SELECT {_interval_micros(f'{epoch} + INTERVAL {duration}')} AS us").first()["us"]
 
 
-def _micros(duration: str) -> int:
-    count, unit = duration.split()
-    return int(count) * _UNITS[unit.rstrip("s")]
+def _interval_micros(ts: str) -> str:
+    """Microseconds from 1970 of a TIMESTAMP_NTZ expression, without any time zone."""
+    return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})"
 
 
 def tumbling_all_reduce(df: DataFrame, ts: str, size: str, seq: str, word: str = "word",
@@ -115,13 +116,16 @@ def sessions(df: DataFrame, ts: str, gap: str, measures: Measures, keys: list[st
     if df.isStreaming:
         return _session_window(df, ts, gap, measures, keys)
     micros = "_ts_us"
-    timed = df.withColumn(micros, F.unix_micros(F.col(ts).cast("timestamp")))
+    # Like session_window, rows without a time are in no session.
+    timed = df.where(F.col(ts).isNotNull())
+    wall_clock = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    timed = timed.withColumn(micros, F.expr(_interval_micros(f"`{ts}`")) if wall_clock else F.unix_micros(ts))
     chunked = chunk_hot_keys(timed, keys, micros, skew)
     if not chunked.split:
         return _session_window(df, ts, gap, measures, keys)
 
     # Sessions inside each chunk; only the first and last of a chunk can go on in another.
-    gap_us = _micros(gap)
+    gap_us = _micros(df.sparkSession, gap)
     local = _islands(chunked.rows, chunked.groups, micros, micros, gap_us)
     pieces = local.groupBy(*chunked.groups, HOT, "_island").agg(
         F.min(ts).alias("_start"), F.max(ts).alias("_last"),

@@ -1,8 +1,7 @@
 """Named queries that replay the given tables as streams and return what the stream wrote.
 
-The whole table is the stream. Files are taken in as one trigger where the operators
-aggregate before the shuffle, and a bounded number at a time where a key's rows reach one
-task.
+The whole table is the stream, taken in as one trigger: files of a table have no order in time,
+so a limit per trigger would make answers depend on their number and age.
 """
 
 from __future__ import annotations
@@ -17,11 +16,10 @@ from rillrank.sources.lines import read_table
 from rillrank.streaming import carry, jobs, processors, sinks
 
 QUERIES = {}
-FILES_PER_TRIGGER = 200
 
 
-def _events(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
-    events = read_table(spark, f"{sf_dir}/events.parquet", max_files_per_trigger=files)
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_table(spark, f"{sf_dir}/events.parquet")
     # Watermarks need an instant, not a wall-clock time.
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -124,14 +122,14 @@ def _unnest(written: DataFrame) -> DataFrame:
 
 @replay
 def stream_threshold_alerts(spark, sf_dir, out, checkpoint, _):
-    pairs = inputs.as_pairs(_events(spark, sf_dir, FILES_PER_TRIGGER))
+    pairs = inputs.as_pairs(_events(spark, sf_dir))
     found = processors.threshold_alerts(pairs)
     return sinks.start(found, sinks.to_alert_files(out), checkpoint, every=None), _unnest
 
 
 @replay
 def stream_count_window_slide(spark, sf_dir, out, checkpoint, _):
-    numbers = inputs.as_numbers(_events(spark, sf_dir, FILES_PER_TRIGGER))
+    numbers = inputs.as_numbers(_events(spark, sf_dir))
     sums = processors.count_window_slide(numbers, "user_id", "seq", 5, 2, "k")
     return sinks.start(sums, sinks.to_files(out), checkpoint, every=None), _plain
 

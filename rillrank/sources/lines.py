@@ -57,8 +57,10 @@ class SocketLines:
 
 @dataclass(frozen=True)
 class FileLines:
+    """No limit by default: files have no order in time, and a row of a later trigger can be too late."""
+
     path: str
-    max_files_per_trigger: int | None = 1000
+    max_files_per_trigger: int | None = None
 
     def options(self, streaming: bool) -> dict[str, str]:
         if streaming and self.max_files_per_trigger:

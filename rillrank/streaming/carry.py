@@ -39,6 +39,8 @@ class Step:
 
     emit: Callable[[DataFrame], DataFrame]
     keep: Callable[[DataFrame], DataFrame]
+    # A column whose carried rows hold a total, which needs a wider type.
+    total: str | None = None
 
 
 def start(df: DataFrame, step: Step, order: str, path: str, carry_path: str, checkpoint: str,
@@ -54,8 +56,10 @@ def start(df: DataFrame, step: Step, order: str, path: str, carry_path: str, che
         if persist:
             batch.persist()
         try:
-            rows = _with_carried(batch.sparkSession, batch, schema, order, carry_path, batch_id)
-            step.emit(rows).write.mode("overwrite").parquet(sinks.batch_path(path, batch_id))
+            rows = _with_carried(batch.sparkSession, batch, _stored(schema, step.total), order, carry_path, batch_id)
+            emitted = step.emit(rows)
+            same = [F.col(c).cast(schema[c].dataType).alias(c) if c in schema.names else c for c in emitted.columns]
+            emitted.select(*same).write.mode("overwrite").parquet(sinks.batch_path(path, batch_id))
             kept = step.keep(rows).select(*schema.names, BACK)
             kept.write.mode("overwrite").parquet(_slot(carry_path, batch_id))
         finally:
@@ -65,6 +69,17 @@ def start(df: DataFrame, step: Step, order: str, path: str, carry_path: str, che
     return sinks.start(df, write, checkpoint, every=every)
 
 
+def _stored(schema: T.StructType, total: str | None) -> T.StructType:
+    """The schema of carried rows: a total has the type that a sum of the column has."""
+    def of(f: T.StructField) -> T.StructField:
+        kind = f.dataType
+        if f.name == total:
+            kind = (T.LongType() if isinstance(kind, T.IntegralType) else T.DecimalType(38, kind.scale)
+                    if isinstance(kind, T.DecimalType) else T.DoubleType())
+        return T.StructField(f.name, kind, True)
+    return T.StructType([of(f) for f in schema.fields])
+
+
 def _slot(carry_path: str, batch_id: int) -> str:
     return f"{carry_path}/slot={batch_id % 2}"
 
@@ -88,14 +103,14 @@ def _with_carried(spark: SparkSession, batch: DataFrame, schema: T.StructType, o
 
 def running_sum(keys: list[str], order: str, value: str, out: str = "total", skew: Skew = Skew()) -> Step:
     """Per input row, the total of its key so far, over all batches."""
-    return _running(keys, order, value, out, ordered.SUM, F.sum, skew)
+    return _running(keys, order, value, out, ordered.SUM, F.sum, skew, value)
 
 
 def running_max(keys: list[str], order: str, value: str, out: str = "largest", skew: Skew = Skew()) -> Step:
     return _running(keys, order, value, out, ordered.MAX, F.max, skew)
 
 
-def _running(keys, order, value, out, measure, aggregate, skew) -> Step:
+def _running(keys, order, value, out, measure, aggregate, skew, total=None) -> Step:
     def emit(rows: DataFrame) -> DataFrame:
         totals = ordered.running(rows, keys, order, {out: (measure, F.col(value))}, skew)
         return totals.filter(~F.col(CARRIED)).drop(CARRIED)
@@ -103,11 +118,11 @@ def _running(keys, order, value, out, measure, aggregate, skew) -> Step:
     def keep(rows: DataFrame) -> DataFrame:
         others = [c for c in rows.columns if c not in (*keys, value, CARRIED)]
         return rows.groupBy(*keys).agg(
-            aggregate(value).cast(rows.schema[value].dataType).alias(value),
+            aggregate(value).alias(value),
             *[F.max(c).alias(c) for c in others],
         ).withColumn(BACK, F.lit(1).cast("bigint"))
 
-    return Step(emit, keep)
+    return Step(emit, keep, total)
 
 
 def _short_groups(rows: DataFrame, keys: list[str], order: str, size: int, skew: Skew) -> DataFrame:

@@ -2,7 +2,9 @@
 
 State per key is bounded by the operator (fewer than ``times`` values, fewer than ``size``
 values, ``n`` rows). Input reaches a key as batches of columns; what is sorted at once is
-one key's rows of one micro-batch, which the source's per-trigger limit bounds.
+one key's rows of one micro-batch. Rows of a later micro-batch must follow in ``seq``; a row that
+goes back stops the query. For keys with very many rows in a micro-batch use ``carry``, which
+splits them over tasks.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Columns on their way to a processor must not start with an underscore: they would arrive renamed.
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(p["seq"].to_numpy(), p["value"].to_numpy()) for p in rows]
-    seq = np.concatenate([s for s, _ in parts])
-    values = np.concatenate([v for _, v in parts])
-    order = np.argsort(seq, kind="stable")
-    return seq[order], values[order]
+def _in_order(rows: Iterator[pd.DataFrame], newest) -> dict[str, np.ndarray]:
+    """The columns of a key's rows by ``seq``. Rows that come after later ones were already used are refused:
+    what they should have changed is out."""
+    whole = pd.concat(list(rows)).sort_values("seq", kind="stable")
+    columns = {c: whole[c].to_numpy() for c in whole.columns}
+    if newest.exists() and columns["seq"][0] <= newest.get()[0]:
+        raise ValueError(f"row {columns['seq'][0]} comes after row {newest.get()[0]} of its key was used")
+    newest.update((int(columns["seq"][-1]),))
+    return columns
 
 
 class EveryNthBreach(StatefulProcessor):
@@ -47,9 +52,11 @@ class EveryNthBreach(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", f"value {self.value_type}")
+        self.newest = handle.getValueState("newest", "seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seq, values = _in_order(rows)
+        columns = _in_order(rows, self.newest)
+        seq, values = columns["seq"], columns["value"]
         held = [v for (v,) in self.pending.get()]
         values = np.concatenate([np.asarray(held, dtype=values.dtype), values])
         full = len(values) // self.times
@@ -71,7 +78,8 @@ class EveryNthBreach(StatefulProcessor):
 
 
 class SlidingCount(StatefulProcessor):
-    """Sums the last ``size`` values of a key at every ``slide``-th row."""
+    """Sums the last ``size`` values of a key at every ``slide``-th row. NULLs add nothing; a window of
+    NULLs only has no total."""
 
     def __init__(self, size: int, slide: int, value_type: str):
         self.size = size
@@ -79,29 +87,43 @@ class SlidingCount(StatefulProcessor):
         self.value_type = value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getListState("last", f"value {self.value_type}")
+        self.last = handle.getListState("last", f"value {self.value_type}, known int")
         self.seen = handle.getValueState("seen", "rows bigint")
+        self.newest = handle.getValueState("newest", "seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seq, values = _in_order(rows)
+        columns = _in_order(rows, self.newest)
+        seq, values, known = columns["seq"], columns["value"], columns["known"]
         seen = self.seen.get()[0] if self.seen.exists() else 0
-        held = [v for (v,) in self.last.get()]
-        window = np.concatenate([np.asarray(held, dtype=values.dtype), values])
-        sums = np.concatenate([[0], np.cumsum(window)])
+        held = list(self.last.get())
+        window = np.concatenate([np.array([v for v, _ in held], dtype=values.dtype), values])
+        in_window = np.concatenate([np.array([k for _, k in held], dtype=known.dtype), known])
         # Rows are numbered from 1 over the key's life; row r is window[r - seen - 1 + len(held)].
         numbers = np.arange(seen + 1, seen + len(values) + 1)
         fired = numbers[numbers % self.slide == 0]
         ends = fired - seen + len(held)
-        starts = np.maximum(0, ends - self.size)
         self.seen.update((int(seen + len(values)),))
         if self.size > 1:
-            self.last.put([(v.item(),) for v in window[-(self.size - 1):]])
+            keep = slice(-(self.size - 1), None)
+            self.last.put([(v.item(), k.item()) for v, k in zip(window[keep], in_window[keep], strict=True)])
         if len(fired):
+            counts = self._totals(in_window, ends)
+            totals = pd.Series(self._totals(window, ends), dtype=object).where(counts > 0, None)
             yield pd.DataFrame({
                 "key": [key[0]] * len(fired), "fired_at": fired,
-                "last_seq": seq[fired - seen - 1], "total": sums[ends] - sums[starts],
+                "last_seq": seq[fired - seen - 1], "total": totals,
             })
 
+    def _totals(self, values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Sums of the last ``size`` values before each end. Differences of running sums are exact for
+        integers only."""
+        if np.issubdtype(values.dtype, np.integer):
+            sums = np.concatenate([[0], np.cumsum(values)])
+            return sums[ends] - sums[np.maximum(0, ends - self.size)]
+        padded = np.concatenate([np.zeros(self.size, values.dtype), values])
+        views = np.lib.stride_tricks.sliding_window_view(padded, self.size)
+        return np.array([views[end].sum() for end in ends])
+
     def close(self) -> None:
         pass
 
@@ -162,14 +184,18 @@ def threshold_alerts(df: DataFrame, threshold: float = fixed.ALERT_THRESHOLD, ti
 
 
 def count_window_slide(df: DataFrame, key: str, order: str, size: int, slide: int, value: str) -> DataFrame:
+    """Totals are BIGINT for integral values, else DOUBLE."""
     types = {f.name: f.dataType for f in df.schema}
-    rows = df.select(F.col(key).alias("key"), F.col(order).alias("seq"), F.col(value).alias("value"))
+    total = T.LongType() if isinstance(types[value], T.IntegralType) else T.DoubleType()
+    number = F.col(value).cast(total)
+    rows = df.select(F.col(key).alias("key"), F.col(order).alias("seq"), F.coalesce(number, F.lit(0).cast(total)).alias("value"),
+                     F.col(value).isNotNull().cast("int").alias("known"))
     out = T.StructType([
         T.StructField("key", types[key]), T.StructField("fired_at", T.LongType()),
-        T.StructField("last_seq", types[order]), T.StructField("total", types[value]),
+        T.StructField("last_seq", types[order]), T.StructField("total", total),
     ])
     return rows.groupBy("key").transformWithStateInPandas(
-        SlidingCount(size, slide, types[value].simpleString()), out, "append", "none"
+        SlidingCount(size, slide, total.simpleString()), out, "append", "none"
     )
 
 

@@ -39,14 +39,18 @@ def to_files(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df)
     return write
 
 
-def to_console(shape: Callable[[DataFrame], DataFrame] = lambda df: df, rows: int = 20) -> BatchWriter:
-    """Prints the first rows of each batch, for looking at a stream."""
+def to_console(shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchWriter:
+    """Prints every row where it is computed: in the executors' output, which is the console of a local master."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        print(f"batch {batch_id}")
-        shape(batch).show(rows, truncate=False)
+        shape(batch).withColumn(BATCH, F.lit(batch_id)).foreachPartition(_print_rows)
     return write
 
 
+def _print_rows(rows: Iterator) -> None:
+    for row in rows:
+        print(row, flush=True)
+
+
 def to_alert_files(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchWriter:
     """The alert channel: a table of its own, apart from the results."""
     return to_files(path, lambda df: shape(df).withColumn("alerted_at", F.current_timestamp()))

@@ -119,3 +119,32 @@ def test_alert_count_is_breaches_over_times(spark, seed):
     got = {r["key"]: r["count"] for r in threshold_alerts(df, times=n).groupBy("key").count().collect()}
     for key in "abc":
         assert got.get(key, 0) == sum(k == key and v >= 100 for _, k, v in data) // n
+
+
+def test_double_totals_are_the_same_when_split(spark):
+    rnd = random.Random(5)
+    rows = spark.createDataFrame([(i, "hot", rnd.random() * 10 ** rnd.randrange(-3, 6)) for i in range(500)],
+                                 "seq bigint, key string, value double")
+    plain = ordered.running_sum(rows, ["key"], "seq", "value")
+    assert dict(plain.dtypes)["total"] == "double"
+    for skew in SKEWS.values():
+        assert rows_of(ordered.running_sum(rows, ["key"], "seq", "value", skew=skew)) == rows_of(plain)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("gap", ["1 hour 30 minutes", "20 minutes"])
+def test_sessions_with_null_times_and_a_clock_change(spark, kind, gap):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rnd = random.Random(9)
+        rows = [("hot", None if i % 10 == 0 else f"2024-11-03 0{rnd.randrange(6)}:{rnd.randrange(60):02}:{i % 60:02}")
+                for i in range(80)]
+        rows = spark.createDataFrame(rows, "key string, at string").withColumn("ts", F.col("at").cast(kind))
+        measures = {"n": ("count", "1")}
+        plain = sessions(rows, "ts", gap, measures, ["key"])
+        split = sessions(rows, "ts", gap, measures, ["key"], Skew(chunk_rows=7))
+        assert rows_of(split) == rows_of(plain)
+        assert sum(r.n for r in plain.collect()) == 72
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

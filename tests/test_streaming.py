@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rillrank.operators import alerts, ordered, windows
@@ -226,9 +227,13 @@ def test_a_batch_run_twice_changes_nothing(feed, spark):
     assert f.written().count() == 1
 
 
-def test_console(spark, capsys):
-    sinks.to_console()(spark.range(2), 7)
-    assert "batch 7" in capsys.readouterr().out
+def test_console_prints_every_row(spark, capsys, monkeypatch):
+    # Tasks print to their own output; here the rows of all partitions are printed by the test itself.
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "foreachPartition", lambda self, f: f(self.toLocalIterator()))
+    sinks.to_console()(spark.range(25), 7)
+    out = capsys.readouterr().out
+    assert all(f"Row(id={i}, batch_id=7)" in out for i in range(25))
 
 
 def test_single_operator_setting_is_put_back(spark):
@@ -244,3 +249,37 @@ def test_alert_times_must_be_positive(pairs):
         alerts.threshold_alerts(pairs, times=0)
     with pytest.raises(ValueError):
         processors.threshold_alerts(pairs, times=0)
+
+
+@pytest.mark.parametrize("make", [
+    processors.threshold_alerts, lambda df: processors.count_window_slide(df, "key", "seq", 5, 2, "value")],
+    ids=["alerts", "sliding count"])
+def test_a_row_that_goes_back_stops_the_query(feed, make):
+    f = feed(PAIRS)
+    f.add((5, "a", 400), (6, "a", 300))
+    f.add((4, "a", 200))
+    query = sinks.start(make(f.stream()), sinks.to_files(f.out), f.checkpoint, every=None)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+
+
+def test_streamed_sliding_count_with_nulls_equals_batch(feed):
+    f = feed("seq bigint, key string, value int")
+    big = 2_000_000_000
+    f.add(*[(i, "a", None if i == 3 else big) for i in range(6)], (6, "b", None), (7, "b", None))
+    f.add(*[(i, "a", big) for i in range(8, 14)])
+    sums = processors.count_window_slide(f.stream(), "key", "seq", 3, 2, "value")
+    finish(sinks.start(sums, sinks.to_files(f.out), f.checkpoint, every=None))
+    columns = ("key", "fired_at", "last_seq", "total")
+    assert as_set(f.written(), *columns) == as_set(
+        windows.count_window_slide(f.all(), ["key"], "seq", 3, 2, "value"), *columns)
+
+
+def test_carried_total_of_an_int_column_passes_its_range(feed):
+    f = feed("seq bigint, key string, value int")
+    for i in range(3):
+        f.add((i, "a", 2_000_000_000))
+    finish(carry.start(f.stream(), carry.running_sum(["key"], "seq", "value"), "seq", f.out, f.carry, f.checkpoint, every=None))
+    got = f.written().orderBy("seq")
+    assert dict(got.dtypes)["value"] == "int"
+    assert [r.total for r in got.collect()] == [2_000_000_000, 4_000_000_000, 6_000_000_000]
