@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rillrank import fixed, schemas
-from rillrank.functions import json_records
+from rillrank.functions import json_records, text
 from rillrank.operators import ranking
 from rillrank.plans import jobs as plans
 from rillrank.session import build_session
 from rillrank.sources.lines import FileLines, KafkaLines, SocketLines, read_lines, read_table
-from rillrank.streaming import jobs, processors, sinks
+from rillrank.streaming import carry, jobs, processors, sinks
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -78,10 +78,42 @@ def threshold_alerts(spark, args, every):
     return [sinks.start(found, sinks.to_alert_files(args.out), args.checkpoint, every=every)]
 
 
+def _carried(spark: SparkSession, args: argparse.Namespace, every: str | None, step: carry.Step) -> list[StreamingQuery]:
+    return [carry.start(_pairs(spark, args), step, "seq", args.out, f"{args.checkpoint}-carried", args.checkpoint,
+                        every=every)]
+
+
+def record_sums(spark, args, every):
+    return _carried(spark, args, every, carry.running_sum(["key"], "seq", "value"))
+
+
+def record_maxima(spark, args, every):
+    return _carried(spark, args, every, carry.running_max(["key"], "seq", "value"))
+
+
+def carried_alerts(spark, args, every):
+    return _carried(spark, args, every, carry.threshold_alerts(args.threshold, args.times))
+
+
+def count_window_all(spark, args, every):
+    return _carried(spark, args, every, carry.count_window_all("seq", args.size, "value"))
+
+
+def count_window_slide(spark, args, every):
+    return _carried(spark, args, every, carry.count_window_slide(["key"], "seq", args.size, args.slide, "value"))
+
+
+def word_sessions(spark, args, every):
+    words = text.tokenise(_lines(spark, args), ",")
+    return [jobs.stream_sessions(words, args.out, args.checkpoint, args.gap, {"cnt": ("count", "1")}, ["word"],
+                                 every=every)]
+
+
 JOBS: dict[str, Callable[..., list[StreamingQuery]]] = {
     fn.__name__.replace("_", "-"): fn
     for fn in (top_hosts, word_top_n, json_window_count, running_word_count, running_max, window_all_count,
-               breach_flags, threshold_alerts)
+               breach_flags, threshold_alerts, record_sums, record_maxima, carried_alerts, count_window_all,
+               count_window_slide, word_sessions)
 }
 
 
@@ -92,7 +124,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--servers", help="brokers, or host:port of a socket")
     p.add_argument("--topic")
     p.add_argument("--group", default="rillrank")
-    p.add_argument("--path", help="text files, or the (seq, key, value) table of the threshold jobs")
+    p.add_argument("--path", help="text files, or the (seq, key, value) table of the threshold, record and count jobs")
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--rejects", help="table for unreadable lines")
@@ -102,6 +134,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--word", default=fixed.KEPT_WORD)
     p.add_argument("--threshold", type=int, default=fixed.ALERT_THRESHOLD)
     p.add_argument("--times", type=int, default=fixed.ALERT_TIMES)
+    p.add_argument("--size", type=int, default=fixed.COUNT_WINDOW_SIZE, help="rows of a count window")
+    p.add_argument("--slide", type=int, default=fixed.COUNT_WINDOW_SLIDE)
+    p.add_argument("--gap", default=fixed.SESSION_GAP, help="of session windows")
     p.add_argument("--files-per-trigger", type=int, help="no limit if not given")
     p.add_argument("--failfast", action="store_true", help="stop at an unreadable line")
     p.add_argument("--once", action="store_true", help="process what is there and stop")

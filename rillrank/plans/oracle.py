@@ -277,4 +277,8 @@ SQL: dict[str, str] = {
         SELECT seq, user_id, k,
                CAST(sum(k) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
         FROM numbers""",
+    "batched_running_max": "WITH " + NUMBERS + """
+        SELECT seq, user_id, k,
+               max(k) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS largest
+        FROM numbers""",
 }

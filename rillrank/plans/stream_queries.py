@@ -162,3 +162,11 @@ def batched_running_sum(spark, sf_dir, out, checkpoint, carried):
     return carry.start(
         numbers, carry.running_sum(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
+
+
+@replay
+def batched_running_max(spark, sf_dir, out, checkpoint, carried):
+    numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
+    return carry.start(
+        numbers, carry.running_max(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None, persist=False
+    ), _plain

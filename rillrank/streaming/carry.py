@@ -172,8 +172,9 @@ def count_window_slide(keys: list[str], order: str, size: int, slide: int, value
     def keep(rows: DataFrame) -> DataFrame:
         # So many of the last rows that every window still to come is complete, and that
         # their count agrees with the key's count modulo the slide.
-        numbered = ordered.number_rows(rows, keys, order, "_no", skew).withColumn("_tie", F.lit(0))
-        last = top_n(numbered, keys, F.col(order), "_tie", size + slide, BACK)
+        numbered = ordered.number_rows(rows, keys, order, "_no", skew)
+        # The tie is the order itself: it also deals a hot key over the parts of a large cut.
+        last = top_n(numbered, keys, F.col(order), order, size + slide, BACK)
         total = F.col("_no") + F.col(BACK) - 1
         needed = size - 1 + F.pmod(total - (size - 1), F.lit(slide))
         return last.filter(F.col(BACK) <= needed).withColumn(BACK, F.col(BACK).cast("bigint"))

@@ -53,7 +53,7 @@ def test_running_max(start):
         == [("a", 4), ("b", 2)]
 
 
-@pytest.mark.parametrize("job", ["word-top-n", "json-window-count", "window-all-count"])
+@pytest.mark.parametrize("job", ["word-top-n", "json-window-count", "window-all-count", "word-sessions"])
 def test_arrival_time_windows_start(start, job):
     # All lines arrive at once, so no window is closed yet; the job must run and write nothing.
     assert start(job, [['{"name":"com","age":2}', "hello,stream"]]).count() == 0
@@ -69,6 +69,26 @@ def test_threshold_jobs(spark, tmp_path, pairs, job, rows):
     assert sinks.read_batches(spark, str(tmp_path / "out")).count() == rows
 
 
+@pytest.mark.parametrize("job, options, columns, expected", [
+    ("record-sums", [], ("key", "total"), [("a", 50), ("a", 130), ("a", 530), ("b", 100), ("b", 300)]),
+    ("record-maxima", [], ("key", "largest"), [("a", 50), ("a", 80), ("a", 400), ("b", 100), ("b", 200)]),
+    ("carried-alerts", ["--times", "2", "--threshold", "80"], ("key", "last_seq"), [("a", 3), ("b", 5)]),
+    ("count-window-all", ["--size", "2"], ("last_seq", "total"), [(2, 130), (4, 500)]),
+    ("count-window-slide", ["--size", "2", "--slide", "2"], ("key", "last_seq", "total"), [("a", 2, 130), ("b", 5, 300)]),
+])
+def test_jobs_with_carried_rows(spark, tmp_path, job, options, columns, expected):
+    rows = [(1, "a", 50), (2, "a", 80), (3, "a", 400), (4, "b", 100), (5, "b", 200)]
+    for part in (rows[:3], rows[3:]):
+        spark.createDataFrame(part, "seq bigint, key string, value bigint").coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "pairs"))
+    args = command.parse([job, "--path", str(tmp_path / "pairs"), "--once", "--files-per-trigger", "1",
+                          "--out", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "ck"), *options])
+    for query in command.run(spark, args):
+        query.awaitTermination()
+    written = sinks.read_batches(spark, str(tmp_path / "out"))
+    assert sorted(tuple(r[c] for c in columns) for r in written.collect()) == expected
+
+
 def test_unknown_job():
     with pytest.raises(SystemExit):
         command.parse(["other", "--out", "o", "--checkpoint", "c"])
