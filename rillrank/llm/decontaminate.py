@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillrank.llm.tasks import map_batches, slices
+
 PASSAGE, STEP = 48, 16
 RANK, OVERSAMPLE = 256, 16
 BLOCK_ITEMS = 4096
@@ -91,8 +93,8 @@ def _weights(texts: DataFrame, block: Block) -> np.ndarray:
     n = len(block.place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total, get = np.zeros(n + 1, np.int64), 0, shared.value.get
-        for batch in batches:
+        held, get = np.zeros(n + 1, np.int64), shared.value.get
+        for batch in slices(batches):
             for text in batch.column("text"):
                 at = np.array([get(w, -1) for w in plain_words(text.as_py())], np.int64)
                 known = np.flatnonzero(at >= 0)
@@ -105,7 +107,7 @@ def _weights(texts: DataFrame, block: Block) -> np.ndarray:
         used = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], names=["word", "n"])
 
-    counted = texts.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = map_batches(texts, run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     found = np.zeros(n + 1, np.int64)
     for row in counted.collect():  # at most one row for each word of the block
         found[row["word"]] = row["n"]
@@ -131,7 +133,7 @@ def _svd(items: DataFrame, block: Block, rank: int) -> np.ndarray:
                 rows.append((weight[at, None] * test[at]).sum(axis=0).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("number"), pa.array(rows, pa.binary())], names=["number", "row"])
 
-    got = items.mapInArrow(sketch, "number bigint, row binary").collect()
+    got = map_batches(items, sketch, "number bigint, row binary").collect()
     sketched = np.zeros((len(block.ids), width))
     for row in got:
         sketched[row["number"]] = np.frombuffer(bytes(row["row"]))
@@ -152,7 +154,7 @@ def _svd(items: DataFrame, block: Block, rank: int) -> np.ndarray:
     by_word = items.select("number", F.explode("words").alias("word")).groupBy("word").agg(
         F.collect_list("number").alias("numbers"))  # at most the items of a block
     product = np.zeros((n, base.shape[1]))
-    for row in by_word.mapInArrow(back, "word bigint, row binary").collect():
+    for row in map_batches(by_word, back, "word bigint, row binary").collect():
         product[row["word"]] = np.frombuffer(bytes(row["row"]))
     values, vectors = np.linalg.eigh(product.T @ product)
     top = [i for i in np.argsort(values)[::-1][:rank] if values[i] > 1e-9 * max(values.max(), 1e-30)]
@@ -237,7 +239,7 @@ def _block(items: DataFrame, texts: DataFrame, rank: int) -> Block | None:
                 [batch.column("item_id"), pa.array([plain_words(x.as_py()) for x in batch.column("text")],
                                                    pa.list_(pa.binary()))], names=["item_id", "words"])
 
-    rows = [r for r in items.mapInArrow(cut, "item_id bigint, words array<binary>").collect() if r["words"]]
+    rows = [r for r in map_batches(items, cut, "item_id bigint, words array<binary>").collect() if r["words"]]
     if not rows:
         return None
     rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, [bytes(w) for w in r["words"]]))
@@ -280,7 +282,7 @@ def _search(texts: DataFrame, block: Block, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, value in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
                 for i, cosine, common, how in find_leaks(plain_words(value.as_py()), block, similarity):
@@ -291,7 +293,7 @@ def _search(texts: DataFrame, block: Block, similarity: float) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                     names=["id", "item_id", "similarity", "common_words", "item_words", "matched"])
 
-    return texts.mapInArrow(run, RESULT)
+    return map_batches(texts, run, RESULT)
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:

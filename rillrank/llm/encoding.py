@@ -21,6 +21,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from rillrank.llm.tasks import on_new_stage  # noqa: E402
+
 MAX_PIECES = 3 << 18
 GROUP_CHARS = 1 << 20
 JOINED = 256
@@ -111,10 +113,13 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def encoder(path: str, end_id: int) -> Encoder:
-    """The task process's encoder, kept between tasks."""
+    """The task process's encoder, kept between tasks of a stage."""
     return Encoder(path, end_id)
 
 
+on_new_stage(encoder.cache_clear)
+
+
 def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 

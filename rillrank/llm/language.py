@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillrank.llm.tasks import map_batches, slices
+
 DIMENSIONS = 4096
 MAX_ROWS = 2400
 MAX_LANGUAGES = 400
@@ -162,14 +164,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     drawn = rows.where(F.col("draw") < bound)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept = [(v, d, features(t).tobytes()) for v, d, t in
                     zip(*(batch.column(c).to_pylist() for c in ("lang", "draw", "text")), strict=True) if has_letter(t)]
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*kept, strict=True)],
                                                  names=["lang", "draw", "features"])
 
-    sample = drawn.mapInArrow(measure, "lang string, draw bigint, features binary")
+    sample = map_batches(drawn, measure, "lang string, draw bigint, features binary")
     got = sample.orderBy("draw", "lang").limit(max_rows).collect()
     if not got:
         return Model()
@@ -188,18 +190,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
-                texts = batch.column(text).to_pylist()
-                known = [i for i, x in enumerate(texts) if model.languages and has_letter(x)]
-                langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                if known:
-                    best, score = model.predict(np.stack([features(texts[i]) for i in known]))
-                    scores[known] = score
-                    for i, b in zip(known, best, strict=True):
-                        langs[i] = model.languages[b]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)],
-                                                 names=[*batch.schema.names, *made])
-
-    return kept.mapInArrow(run, schema)
+        for batch in slices(batches):
+            texts = batch.column(text).to_pylist()
+            known = [i for i, x in enumerate(texts) if model.languages and has_letter(x)]
+            langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            if known:
+                best, score = model.predict(np.stack([features(texts[i]) for i in known]))
+                scores[known] = score
+                for i, b in zip(known, best, strict=True):
+                    langs[i] = model.languages[b]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)],
+                                             names=[*batch.schema.names, *made])
+
+    return map_batches(kept, run, schema)

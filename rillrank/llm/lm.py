@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillrank.llm.tables import saved
+from rillrank.llm.tasks import ROWS, map_batches, slices
 from rillrank.llm.words import mix, text_hashes
 
 BASE = 1.6
@@ -48,7 +49,8 @@ MAX_BYTES = 128 << 20
 BITS_PER_ENTRY = 12
 SLICE_PLACES = 1 << 16
 HEAD = 1 << 22
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 2 << 20
+SCORED_TOKENS = 1 << 18
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 #: Smallest count of levels 1, 2, ...; a level is read back as the middle of its range.
@@ -134,7 +136,7 @@ def build_filter(counted: DataFrame, slices: int, width: int) -> Filter:
                                              names=["slice", "places"])
 
     places = np.zeros(slices * width, np.uint64)
-    for row in dealt.mapInArrow(run, "slice bigint, places binary").toLocalIterator():
+    for row in map_batches(dealt, run, "slice bigint, places binary", rows=10_000).toLocalIterator():
         places[row["slice"] * width:(row["slice"] + 1) * width] = np.frombuffer(bytes(row["places"]), np.uint64)
     return Filter(places, slices, width)
 
@@ -170,7 +172,7 @@ def _pairs(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[list[np.ndarray]]:
     held, n = [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(column):
             held.append(_tokens(text.as_py()))
             n += len(held[-1])
@@ -196,7 +198,7 @@ def _counts(texts: DataFrame, words: Filter | None) -> DataFrame:
             keys, n = np.unique(keys, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-    return texts.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return map_batches(texts.select("text"), run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def fit(training: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) -> Model:
@@ -282,20 +284,20 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40  # rows are told apart by task and place
-        for whole in batches:
+        for whole in slices(batches, 4 * ROWS):
             ids, held, n = [], [], 0
             for id_, value in zip(whole.column("id").to_pylist(), whole.column("text"), strict=True):
                 ids.append(id_)
                 held.append(_tokens(value.as_py()))
                 n += len(held[-1])
-                if n >= CHUNK_TOKENS // 4:
+                if n >= SCORED_TOKENS:
                     yield _score_chunk(first, ids, held, shared.value)
                     first, ids, held, n = first + len(ids), [], [], 0
             if held:
                 yield _score_chunk(first, ids, held, shared.value)
                 first += len(ids)
 
-    scored = saved(rows.mapInArrow(run, _SCORED), "scored")
+    scored = saved(map_batches(rows, run, _SCORED), "scored")
     result = scored.select("uid", "id", "n_tokens", "head_known", "head_base", "part")
     constant = float(model.tokens + model.distinct + 1)
     tail = scored.select("uid", F.explode("tail").alias("key")).groupBy("uid", "key").agg(F.count("*").alias("k"))

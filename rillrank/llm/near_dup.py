@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from rillrank.llm.graph import components
 from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
+from rillrank.llm.tasks import map_batches, slices
 from rillrank.llm.words import text_hashes, window_hashes
 
 SHINGLE = 5
@@ -89,33 +90,29 @@ def estimate(agreeing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _sketches(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                counts, prints, sketches = [], [], []
-                for text in batch.column("text"):
-                    values = shingles(text.as_py())
-                    counts.append(len(values))
-                    prints.append(xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63))
-                    sketches.append(registers(values).tobytes() if len(values) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc"), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()),
-                     pa.array(sketches, pa.binary())], names=["doc", "n", "print", "sketch"])
-
-    return rows.mapInArrow(run, "doc bigint, n bigint, print bigint, sketch binary")
+        for batch in slices(batches):
+            counts, prints, sketches = [], [], []
+            for text in batch.column("text"):
+                values = shingles(text.as_py())
+                counts.append(len(values))
+                prints.append(xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63))
+                sketches.append(registers(values).tobytes() if len(values) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()),
+                 pa.array(sketches, pa.binary())], names=["doc", "n", "print", "sketch"])
+
+    return map_batches(rows, run, "doc bigint, n bigint, print bigint, sketch binary")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                sets = [shingles(x.as_py()).tobytes() for x in batch.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc"), pa.array(sets, pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
-                    names=["doc", "set", "bytes"])
-
-    return rows.select("doc", "text").mapInArrow(run, "doc bigint, set binary, bytes bigint")
+        for batch in slices(batches):
+            sets = [shingles(x.as_py()).tobytes() for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(sets, pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
+                names=["doc", "set", "bytes"])
+
+    return map_batches(rows.select("doc", "text"), run, "doc bigint, set binary, bytes bigint")
 
 
 def candidates(classes: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillrank.llm.encoding import encoder
+from rillrank.llm.tasks import map_batches, slices
 
 GROUP_DOCS = 2048
 HELD_DOCS = 4096
@@ -136,7 +137,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = 4096, id_colu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = None
-        for batch in batches:
+        for batch in slices(batches):
             encoded = encoder(tokenizer, end_id).encode(x.as_py() for x in batch.column("text"))
             out: list[dict] = []
             for number, doc, ids in zip(batch.column("number").to_pylist(), batch.column("doc_id").to_pylist(),
@@ -153,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, room: int = 4096, id_colu
         if group:
             yield pa.RecordBatch.from_pylist(list(group.flush()), schema=_ARROW)
 
-    return dealt.mapInArrow(run, PIECES)
+    return map_batches(dealt, run, PIECES)
 
 
 def padded(tokens: int, room: int = 4096) -> int:

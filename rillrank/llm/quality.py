@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillrank.llm.tasks import map_batches, slices
 from rillrank.llm.words import SPACES, covered, repeated, text_hashes, window_hashes
 
 #: The largest share of characters inside repeated n-grams, by n. The first occurrence counts too, so
@@ -75,13 +76,13 @@ def repetition(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept.schema.fields, *[T.StructField(c, T.LongType()) for c in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [measure(x) for x in batch.column(text).to_pylist()]
             cells = np.array(rows, np.int64).reshape(len(rows), len(names)).T
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, cells)],
                                              names=[*batch.schema.names, *names])
 
-    return kept.mapInArrow(run, schema)
+    return map_batches(kept, run, schema)
 
 
 def base_failed() -> Column:

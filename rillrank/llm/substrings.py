@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
+from rillrank.llm.tasks import map_batches, slices
 from rillrank.llm.words import covered, text_hashes, window_hashes, words
 
 MIN_WORDS = 50
@@ -71,31 +72,30 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 def _anchors(rows: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                anchors, docs, rids, places = [], [], [], []
-                for doc, rid, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "rid", "text")), strict=True):
-                    hashes = text_hashes(text)
-                    place = np.unique(winnow(hashes, min_words))
-                    if len(place):
-                        anchors.append(window_hashes(hashes, min_words // 2)[place].view(np.int64))
-                        docs.append(np.full(len(place), doc))
-                        rids.append(np.full(len(place), rid))
-                        places.append(place)
-                if anchors:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x)) for x in (anchors, docs, rids, places)],
-                        names=["anchor", "doc", "rid", "pos"])
-
-    return rows.mapInArrow(run, "anchor bigint, doc bigint, rid bigint, pos bigint")
+        for batch in slices(batches):
+            anchors, docs, rids, places = [], [], [], []
+            for doc, rid, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "rid", "text")), strict=True):
+                hashes = text_hashes(text)
+                place = np.unique(winnow(hashes, min_words))
+                if len(place):
+                    anchors.append(window_hashes(hashes, min_words // 2)[place].view(np.int64))
+                    docs.append(np.full(len(place), doc))
+                    rids.append(np.full(len(place), rid))
+                    places.append(place)
+            if anchors:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x)) for x in (anchors, docs, rids, places)],
+                    names=["anchor", "doc", "rid", "pos"])
+
+    return map_batches(rows, run, "anchor bigint, doc bigint, rid bigint, pos bigint")
 
 
 def _segments(links: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     """Each link with the first holder's words around the linked anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            begin, parts, last_rid, cut = [], [], None, []
+        last_rid, cut = None, []
+        for batch in slices(batches, 64):
+            begin, parts = [], []
             for rid, text, diagonal, low, high in zip(*(batch.column(c).to_pylist() for c in
                                                         ("first_rid", "text", "diagonal", "low", "high")), strict=True):
                 if rid != last_rid:
@@ -110,7 +110,7 @@ def _segments(links: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     joined = links.join(texts.select(F.col("rid").alias("first_rid"), "text"), "first_rid")
     schema = T.StructType([f for f in joined.schema.fields if f.name != "text"]
                           + [T.StructField("begin", T.LongType()), T.StructField("segment", T.StringType())])
-    return joined.mapInArrow(run, schema)
+    return map_batches(joined, run, schema)
 
 
 def _along(hashes: np.ndarray, other: np.ndarray, shift: int, min_words: int) -> np.ndarray:
@@ -145,24 +145,22 @@ def _extend(doc: int, rid: int, text: str, links: list[dict], min_words: int):
 
 def _extended(linked: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 100):
-                batch = whole.slice(at, 100)
-                docs, rids, spans, keys, starts = [], [], [], [], []
-                for x in batch.to_pylist():
-                    cover, key, start = _extend(x["doc"], x["rid"], x["text"], x["links"], min_words)
-                    docs.append(x["doc"])
-                    rids.append(x["rid"])
-                    spans.append([{"begin": a, "end": b} for a, b in cover])
-                    keys.append(key)
-                    starts.append(start)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(docs, pa.int64()), pa.array(rids, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(keys, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int64()))],
-                    names=["doc", "rid", "spans", "keys", "starts"])
-
-    return linked.mapInArrow(run, "doc bigint, rid bigint, spans array<struct<begin:bigint,end:bigint>>, "
+        for batch in slices(batches, 64):
+            docs, rids, spans, keys, starts = [], [], [], [], []
+            for x in batch.to_pylist():
+                cover, key, start = _extend(x["doc"], x["rid"], x["text"], x["links"], min_words)
+                docs.append(x["doc"])
+                rids.append(x["rid"])
+                spans.append([{"begin": a, "end": b} for a, b in cover])
+                keys.append(key)
+                starts.append(start)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(docs, pa.int64()), pa.array(rids, pa.int64()),
+                pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
+                pa.array(keys, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int64()))],
+                names=["doc", "rid", "spans", "keys", "starts"])
+
+    return map_batches(linked, run, "doc bigint, rid bigint, spans array<struct<begin:bigint,end:bigint>>, "
                                   "keys array<bigint>, starts array<bigint>")
 
 
@@ -215,7 +213,7 @@ def _cut(rows: DataFrame, text: str, names: list[str]) -> DataFrame:
                            T.StructField("n_removed", T.LongType()), T.StructField("removed", _SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans_of = batch.column("_spans").to_pylist()
             kept, total, gone, removed = [], [], [], []
             for value, spans in zip(batch.column(text).to_pylist(), spans_of, strict=True):
@@ -235,7 +233,7 @@ def _cut(rows: DataFrame, text: str, names: list[str]) -> DataFrame:
                 pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
                 names=[*names, *RESULT])
 
-    return rows.select(*[F.col(f"`{c}`") for c in names], "_spans").mapInArrow(run, schema)
+    return map_batches(rows.select(*[F.col(f"`{c}`") for c in names], "_spans"), run, schema)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rillrank.llm.encoding import crc32, crc32_joined, encoder
+from rillrank.llm.tasks import map_batches, slices
 
 BLOCK_IDS = 1 << 16
 LEVEL = 3
@@ -115,7 +116,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(block_ids, plane_bits)
-        for batch in batches:
+        for batch in slices(batches):
             encoded = encoder(tokenizer, end_id).encode(x.as_py() for x in batch.column("text"))
             for doc, ids in zip(batch.column("id").to_pylist(), encoded, strict=True):
                 for row in blocks.add(doc, ids):
@@ -123,7 +124,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         if blocks.n:
             yield pa.RecordBatch.from_pylist([blocks.close()], schema=schema)
 
-    ordered.mapInArrow(encode, BLOCKS).write.parquet(f"{path}/blocks")
+    map_batches(ordered, encode, BLOCKS).write.parquet(f"{path}/blocks")
     spark = docs.sparkSession
     blocks = spark.read.parquet(f"{path}/blocks")
     (blocks.join(F.broadcast(_offsets(blocks)), "part")
@@ -167,7 +168,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     placed = blocks.join(F.broadcast(_offsets(blocks)), "part").withColumn("first", F.col("first") + F.col("offset"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 8):
             for x in batch.to_pylist():
                 ids, ends = unpack_block(x["payload"]), np.cumsum(x["piece_lengths"])
                 begins = ends - x["piece_lengths"]
@@ -178,7 +179,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     pa.array([crc32(ids[a:b]) for a, b in zip(begins, ends, strict=True)], pa.int64()),
                 ], names=["part", "row", "id", "start", "length", "crc"])
 
-    pieces = placed.mapInArrow(decode, PIECES)
+    pieces = map_batches(placed, decode, PIECES)
     whole = pieces.groupBy("part", "row", "id").agg(
         F.min("start").alias("start"), F.sum("length").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("start", "length", "crc"))).alias("pieces"))
