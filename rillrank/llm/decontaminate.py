@@ -1,11 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are taken in blocks of BLOCK_ITEMS, whose words, vectors and projections are broadcast.
-For each block:
+Benchmark items are taken in blocks of BLOCK_ITEMS, and of about BLOCK_CHARS, whose words, vectors and
+projections are broadcast. A block is cut into groups of at most RANK items, so that the directions of a
+group span it whole and no item is lost in a projection. For each block:
 
 1. Passages. Documents are cut to passages of PASSAGE words, one every STEP words. In how many passages
    each word of the block occurs is counted over all documents and gives the weights (idf).
-2. Latent space. A randomised SVD of the items' TF-IDF matrix, computed on the executors: the matrix is
+2. Latent space. A randomised SVD of each group's TF-IDF matrix, computed on the executors: the matrix is
    sketched with random vectors (item by item), the sketch's orthonormal base is multiplied back (word
    by word), and a small eigenproblem on the driver turns the result into at most RANK directions.
 3. Candidates. Every passage of every document is projected. Its cosine to each item is measured
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from rillrank.llm.tasks import map_batches, slices
 
 PASSAGE, STEP = 48, 16
 RANK, OVERSAMPLE = 256, 16
-BLOCK_ITEMS = 4096
+BLOCK_ITEMS, BLOCK_CHARS = 4096, 1 << 19
 SIMILARITY = 0.35
 SEQUENCE_SHARE, PARAPHRASE_SHARE = 0.8, 0.6
 ANSWER_WORDS = 8
@@ -51,6 +52,16 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.encode().lower().translate(_PUNCTUATION).split() if text else []
 
 
+@dataclass
+class Group:
+    """Items of a block that share a latent space of as many directions as their matrix has."""
+
+    items: np.ndarray  # their numbers in the block
+    row: np.ndarray  # row in `directions` of each word of the block; words of other groups have the last
+    directions: np.ndarray  # the group's words x rank, times idf; the last row is zero
+    latent: np.ndarray  # items x rank, of unit length in the full space
+
+
 @dataclass
 class Block:
     """What the tasks need of a block of items."""
@@ -59,8 +70,7 @@ class Block:
     items: list[list[bytes]]
     place: dict[bytes, int]
     weight: np.ndarray | None = None  # idf of each word; the last is for all other words
-    directions: np.ndarray | None = None  # words x rank, times idf; the last row is zero
-    latent: np.ndarray | None = None  # items x rank, of unit length in the full space
+    groups: list[Group] = field(default_factory=list)
 
 
 def longest_common(item: list[bytes], text: list[bytes]) -> int:
@@ -117,47 +127,46 @@ def _weights(texts: DataFrame, block: Block) -> np.ndarray:
     return weight
 
 
-def _svd(items: DataFrame, block: Block, rank: int) -> np.ndarray:
-    """Directions (words x rank) of a randomised SVD of the items' TF-IDF matrix."""
-    n, spark = len(block.place), items.sparkSession
-    width = min(rank + OVERSAMPLE, len(block.ids), n)
-    shared = spark.sparkContext.broadcast((block.place, block.weight))
+def _svd(items: DataFrame, count: int, weight: np.ndarray, rank: int) -> np.ndarray:
+    """Directions (words x rank) of a randomised SVD of the TF-IDF matrix of `count` items."""
+    n, spark = len(weight), items.sparkSession
+    width = min(rank + OVERSAMPLE, count, n)
+    shared = spark.sparkContext.broadcast(weight)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, weight = shared.value
+        weight = shared.value
         test = np.random.default_rng(SEED).standard_normal((n, width))
         for batch in batches:
             rows = []
             for words in batch.column("words").to_pylist():
-                at = np.array([place[w] for w in words], np.int64)
+                at = np.array(words, np.int64)
                 rows.append((weight[at, None] * test[at]).sum(axis=0).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("number"), pa.array(rows, pa.binary())], names=["number", "row"])
 
     got = map_batches(items, sketch, "number bigint, row binary").collect()
-    sketched = np.zeros((len(block.ids), width))
+    sketched = np.zeros((count, width))
     for row in got:
         sketched[row["number"]] = np.frombuffer(bytes(row["row"]))
     base, _ = np.linalg.qr(sketched)
     based = spark.sparkContext.broadcast(base)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, weight = shared.value
+        weight = shared.value
         for batch in batches:
             sums: dict[int, np.ndarray] = {}
             for word, numbers in zip(batch.column("word").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
-                at = place[word]
-                sums[at] = weight[at] * based.value[numbers].sum(axis=0)
+                sums[word] = weight[word] * based.value[numbers].sum(axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()),
                                               pa.array([x.tobytes() for x in sums.values()], pa.binary())],
                                              names=["word", "row"])
 
     by_word = items.select("number", F.explode("words").alias("word")).groupBy("word").agg(
-        F.collect_list("number").alias("numbers"))  # at most the items of a block
+        F.collect_list("number").alias("numbers"))  # at most the items of a group
     product = np.zeros((n, base.shape[1]))
     for row in map_batches(by_word, back, "word bigint, row binary").collect():
         product[row["word"]] = np.frombuffer(bytes(row["row"]))
     values, vectors = np.linalg.eigh(product.T @ product)
-    top = [i for i in np.argsort(values)[::-1][:rank] if values[i] > 1e-9 * max(values.max(), 1e-30)]
+    top = [i for i in np.argsort(values)[::-1][:rank] if values[i] > 1e-12 * max(values.max(), 1e-30)]
     return product @ vectors[:, top] / np.sqrt(values[top])
 
 
@@ -174,26 +183,37 @@ def _candidates(at: np.ndarray, block: Block, similarity: float) -> tuple[np.nda
 
     energy = block.weight[where] ** 2
     length = passages(np.add.reduceat(energy, steps))
-    known = passages(np.add.reduceat(np.where(at >= 0, energy, 0.0), steps))
-    some = np.flatnonzero(known >= similarity ** 2 * length)
-    if not len(some):
-        return some, some, np.empty(0)
+    found = []
+    for group in block.groups:
+        row = group.row[where]
+        known = passages(np.add.reduceat(np.where(row < len(group.directions) - 1, energy, 0.0), steps))
+        some = np.flatnonzero(known >= similarity ** 2 * length)
+        if not len(some):
+            continue
+        projected = _projected(row, some, steps, group.directions)
+        norm = np.sqrt(length[some])
+        reach = np.flatnonzero(np.sqrt((projected ** 2).sum(axis=1)) >= similarity * norm)
+        cosine = projected[reach] @ group.latent.T / norm[reach, None]
+        at_row, item = np.nonzero(cosine >= similarity)
+        found.append((some[reach[at_row]], group.items[item], cosine[at_row, item]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _projected(row: np.ndarray, some: np.ndarray, steps: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """Projections of the passages `some` of words whose rows in `directions` are given."""
     # Only steps of those passages are projected.
     used = np.unique(np.minimum((some[:, None] + np.arange(PASSAGE // STEP)).ravel(), len(steps) - 1))
     mine = np.zeros(len(steps), dtype=bool)
     mine[used] = True
-    words = np.flatnonzero(mine[np.arange(len(at)) // STEP])
+    words = np.flatnonzero(mine[np.arange(len(row)) // STEP])
     begins = np.searchsorted(words, steps[used])
-    sums = np.zeros((len(steps), block.directions.shape[1]), np.float32)
-    sums[used] = np.add.reduceat(block.directions[where[words]], begins, axis=0)
+    sums = np.zeros((len(steps), directions.shape[1]), np.float32)
+    sums[used] = np.add.reduceat(directions[row[words]], begins, axis=0)
     ends = [np.minimum(some + i, len(steps) - 1) for i in range(PASSAGE // STEP)]
     inside = [(some + i < len(steps))[:, None] for i in range(PASSAGE // STEP)]
-    projected = sum(sums[e] * i for e, i in zip(ends, inside, strict=True))
-    norm = np.sqrt(length[some])
-    reach = np.flatnonzero(np.sqrt((projected ** 2).sum(axis=1)) >= similarity * norm)
-    cosine = projected[reach] @ block.latent.T / norm[reach, None]
-    row, item = np.nonzero(cosine >= similarity)
-    return some[reach[row]], item, cosine[row, item]
+    return sum(sums[e] * i for e, i in zip(ends, inside, strict=True))
 
 
 def find_leaks(words: list[bytes], block: Block, similarity: float) -> list[tuple[int, float, int, str]]:
@@ -247,23 +267,32 @@ def _block(items: DataFrame, texts: DataFrame, rank: int) -> Block | None:
     place = {w: i for i, w in enumerate(sorted({w for item in words for w in item}))}
     block = Block([r["item_id"] for r in rows], words, place)
     block.weight = _weights(texts, block)
-    numbered = texts.sparkSession.createDataFrame(
-        [(i, [place[w] for w in item]) for i, item in enumerate(words)], "number bigint, words array<bigint>")
-    block.place = {i: i for i in range(len(place))}
-    directions = _svd(numbered, block, rank)
-    block.place = place
-    block.directions = np.vstack([directions * block.weight[:-1, None], np.zeros(directions.shape[1])]).astype(np.float32)
-    latent = np.stack([block.directions[[place[w] for w in item]].sum(axis=0) for item in words])
-    norm = np.sqrt([sum(block.weight[place[w]] ** 2 for w in item) for item in words])
-    block.latent = (latent / norm[:, None]).astype(np.float32)
+    block.groups = [_group(texts, block, np.arange(i, min(i + rank, len(words))), rank) for i in range(0, len(words), rank)]
     return block
 
 
+def _group(texts: DataFrame, block: Block, numbers: np.ndarray, rank: int) -> Group:
+    items = [[block.place[w] for w in block.items[i]] for i in numbers]
+    used = np.unique(np.concatenate(items))
+    row = np.full(len(block.place) + 1, len(used))
+    row[used] = np.arange(len(used))
+    weight = block.weight[used]
+    rows = [row[item] for item in items]
+    numbered = texts.sparkSession.createDataFrame(
+        [(i, r.tolist()) for i, r in enumerate(rows)], "number bigint, words array<bigint>")
+    directions = _svd(numbered, len(rows), weight, rank)
+    directions = np.vstack([directions * weight[:, None], np.zeros(directions.shape[1])]).astype(np.float32)
+    latent = np.stack([directions[r].sum(axis=0) for r in rows])
+    norm = np.sqrt([(weight[r] ** 2).sum() for r in rows])
+    return Group(numbers, row, directions, (latent / norm[:, None]).astype(np.float32))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
           similarity: float = SIMILARITY, rank: int = RANK, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row for each document and benchmark item (item_id, text) that it holds."""
     texts = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    blocks = max(1, -(-benchmark.count() // block_items))
+    size = benchmark.agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars")).first()
+    blocks = max(1, -(-size["n"] // block_items), -(-(size["chars"] or 0) // BLOCK_CHARS))
     out = None
     for number in range(blocks):
         items = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).select(

@@ -314,6 +314,17 @@ def test_decontamination(spark):
     assert decontaminate.leaks(frame(spark), benchmark.where("false")).count() == 0
 
 
+def test_more_items_than_directions(spark):
+    """Every one of 1,500 items, copied word for word, is found: no projection may lose any."""
+    rnd = random.Random(8)
+    vocabulary = [f"q{i}" for i in range(4000)]
+    items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randrange(15, 32)))) for i in range(1500)]
+    rows = [(i, " ".join([*rnd.choices(vocabulary, k=40), text, *rnd.choices(vocabulary, k=40)]), None, None, None, None)
+            for i, text in items]
+    got = decontaminate.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
+
+
 def test_longest_common_subsequence():
     rnd = random.Random(1)
     for _ in range(60):
