@@ -19,6 +19,9 @@ canon AS (
 )
 """
 
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 def _text(value: str) -> str:
@@ -122,5 +125,31 @@ SELECT f.page_id, f.host, f.path, g.rule,
        CASE WHEN g.rule IS NOT NULL THEN g.rule_verdict WHEN f.found THEN 'block' ELSE 'allow' END AS verdict,
        coalesce(f.found, false) AS listed
 FROM flagged f LEFT JOIN fitting g ON f.page_id = g.page_id AND g.place = 1
+""",
+    "op11_ranked_search": f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents),
+sized AS MATERIALIZED (SELECT d, doc_id, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+whole AS MATERIALIZED (SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized),
+asked AS MATERIALIZED (
+  SELECT q, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS q, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+),
+held AS MATERIALIZED (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * all_docs + 2) / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), whole
+),
+scored AS (
+  SELECT a.q, a.item_id, s.doc_id,
+         CAST(sum(a.times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN weighed USING (term) JOIN held h USING (term) JOIN sized s ON s.d = h.d, whole
+  GROUP BY a.q, a.item_id, s.d, s.doc_id
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+WHERE place <= 10
 """,
 }

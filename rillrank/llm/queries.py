@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import decontaminate, language, licenses, lm, near_dup, packing, quality, substrings, token_files, urls
+from rillrank.llm import (decontaminate, language, licenses, lm, near_dup, packing, quality, ranked_search, substrings,
+                          token_files, urls, whitening)
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -90,6 +91,16 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build(_documents(spark, sf_dir), "doc_id", "text")
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"), "item_id", "text", k=10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors, "embedding", components=4), "embedding", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_lm_scoring": op2_lm_scoring,
@@ -101,4 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
+    "op11_ranked_search": op11_ranked_search,
+    "op13_whitening": op13_whitening,
 }
