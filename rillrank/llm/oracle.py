@@ -39,6 +39,21 @@ _LICENSE_SHINGLES = """
        unnest(range(1, greatest(len(w) - 3, 1))) AS t(i)
 """
 
+#: name, pattern, score, context words; the first four in any text, the others by their score.
+_PERSONAL = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 0.9, "mail|contact|write"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 0.7, "ip|address|host|server"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", 0.6, "card|visa|credit|payment|karte|tarjeta|carte"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7, "phone|tel|call|mobile|fax"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", 0.8, "iban|account|bank|konto|cuenta|compte"),
+    ("us_ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", 0.3, "ssn|social security"),
+    ("local_phone", r"\b[0-9]{3}(?:[\x20.-]|\)\x20?)[0-9]{3}[\x20.-][0-9]{4}\b", 0.3, "phone|tel|call|mobile|fax|telefon"),
+]
+_PERSONAL_CUTS = " UNION ALL ".join(
+    f"SELECT d, doc_id, {k} AS kind, regexp_extract_all(t, '{p}') AS found, string_split_regex(t, '{p}') AS gaps FROM texts"
+    for k, (_, p, _, _) in enumerate(_PERSONAL))
+_PERSONAL_KINDS = ", ".join(f"({k}, '{name}', {score}, '{context}')" for k, (name, _, score, context) in enumerate(_PERSONAL))
+
 SQL: dict[str, str] = {
     "op1_license_scan": f"""
 WITH templates(license, notice, size, step, width) AS (VALUES {_TEMPLATES}),
@@ -151,5 +166,53 @@ scored AS (
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
 WHERE place <= 10
+""",
+    "op12_personal_data": rf"""
+WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS t FROM documents),
+kinds(kind, name, least, context) AS (VALUES {_PERSONAL_KINDS}),
+cut AS ({_PERSONAL_CUTS}),
+matches AS (
+  SELECT d, kind, i, found[i] AS m, gaps[i] AS gap, gaps[i + 1] AS after FROM cut, unnest(range(1, len(found) + 1)) AS u(i)
+),
+placed AS (
+  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY d, kind ORDER BY i) AS stop,
+         regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS code,
+         translate(right(gap, 40) || ' | ' || left(after, 40), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS near
+  FROM matches
+),
+judged AS (
+  SELECT d, kind, name, stop - length(m) AS start, stop,
+         CASE kind
+           WHEN 1 THEN list_bool_and(list_transform(string_split(m, '.'), lambda x: coalesce(TRY_CAST(x AS BIGINT) <= 255, false)))
+           WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda j:
+                CASE WHEN j % 2 = 1 THEN CAST(digits[length(digits) - j + 1] AS INT)
+                     ELSE (2 * CAST(digits[length(digits) - j + 1] AS INT)) // 10 + (2 * CAST(digits[length(digits) - j + 1] AS INT)) % 10
+                END)) % 10 = 0
+           WHEN 3 THEN length(digits) BETWEEN 9 AND 15
+           WHEN 4 THEN length(code) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(
+                string_split(code[5:] || code[1:4], ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)),
+                lambda a, v: CASE WHEN v > 9 THEN (a * 100 + v) % 97 ELSE (a * 10 + v) % 97 END) = 1
+           ELSE true END AS good,
+         least + CASE WHEN regexp_matches(near, '(?:^|[^a-z])(?:' || context || ')') THEN 0.4 ELSE 0 END AS score
+  FROM placed JOIN kinds USING (kind)
+),
+sides AS (
+  SELECT *, max(CASE WHEN kind < 4 AND good THEN stop END) OVER (PARTITION BY d ORDER BY start, stop, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
+         min(CASE WHEN kind < 4 AND good THEN start END) OVER (PARTITION BY d ORDER BY start, stop, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS entry
+  FROM judged
+),
+kept AS (
+  SELECT *, name || ':' || start || ':' || stop AS span FROM sides
+  WHERE good AND (kind < 4 OR kind = 4 OR (score >= 0.6 AND coalesce(reach <= start, true) AND coalesce(entry >= stop, true)))
+),
+joined AS (
+  SELECT d, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card,
+         count(*) FILTER (kind = 3) AS n_phone, string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 4) AS base,
+         string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM kept GROUP BY d
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (d)
 """,
 }

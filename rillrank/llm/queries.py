@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillrank.llm import (decontaminate, language, licenses, lm, near_dup, packing, quality, ranked_search, substrings,
-                          token_files, urls, whitening)
+from rillrank.llm import (decontaminate, language, licenses, lm, near_dup, packing, personal, quality, ranked_search,
+                          substrings, token_files, urls, whitening)
 from rillrank.plans.inputs import table
 from rillrank.session import run_dir
 
@@ -96,6 +96,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(index, table(spark, sf_dir, "benchmark"), "item_id", "text", k=10)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.spans(_documents(spark, sf_dir), "doc_id", "text"), "doc_id")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(vectors, whitening.fit(vectors, "embedding", components=4), "embedding", "vec_id")
@@ -113,5 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
     "op11_ranked_search": op11_ranked_search,
+    "op12_personal_data": op12_personal_data,
     "op13_whitening": op13_whitening,
 }

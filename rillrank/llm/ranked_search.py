@@ -59,7 +59,8 @@ _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 _POSTINGS = "shard BIGINT, term BINARY, df BIGINT, top BIGINT, lasts BINARY, tops BINARY, sizes BINARY, payload BINARY"
-#: The row of a shard that holds its documents: ids in `lasts`, lengths in `tops`, missing ids in `sizes`.
+#: The row of a shard that holds its documents: ids in `lasts`, lengths in `tops`, missing ids in `sizes`, and the
+#: postings per block in `top`.
 _DOCUMENTS = b""
 
 
@@ -128,7 +129,7 @@ class _Shard:
             self.terms.extend(map(self.numbers.__getitem__, counts))
             self.tfs.extend(counts.values())
 
-    def rows(self, shard: int, docs: int, total: int) -> Iterator[tuple]:
+    def rows(self, shard: int, docs: int, total: int, block: int = BLOCK) -> Iterator[tuple]:
         """The documents by ascending id, then a row per term."""
         ids = np.array([0 if i is None else i for i in self.ids], np.int64)
         none = np.array([i is None for i in self.ids], bool)
@@ -136,7 +137,7 @@ class _Shard:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         lengths = np.array(self.lengths, np.int64)[order]
-        yield (shard, _DOCUMENTS, len(ids), 0, ids[order].tobytes(), lengths.tobytes(), none[order].tobytes(), b"")
+        yield (shard, _DOCUMENTS, len(ids), block, ids[order].tobytes(), lengths.tobytes(), none[order].tobytes(), b"")
 
         terms, tf = np.frombuffer(self.terms, np.int32), np.frombuffer(self.tfs, np.int32)
         doc = np.repeat(place, self.distinct)
@@ -147,12 +148,12 @@ class _Shard:
         ends = np.cumsum(sizes)
         pack = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False).compress
         for term, begin, end in zip(self.numbers, (ends - sizes).tolist(), ends.tolist()):
-            starts = np.arange(begin, end, BLOCK)
+            starts = np.arange(begin, end, block)
             tops = np.maximum.reduceat(gain[begin:end], starts - begin).astype(np.int32)
-            lasts = doc[np.minimum(starts + BLOCK, end) - 1]
+            lasts = doc[np.minimum(starts + block, end) - 1]
             blocks, before = [], 0
             for at, last in zip(starts.tolist(), lasts.tolist()):
-                stop = min(at + BLOCK, end)
+                stop = min(at + block, end)
                 steps = np.diff(doc[at:stop], prepend=np.int32(before))
                 blocks.append(pack(steps.tobytes() + tf[at:stop].tobytes()))
                 before = last
@@ -161,7 +162,7 @@ class _Shard:
 
 
 def build(df: DataFrame, key: str, text: str, shard_docs: int = SHARD_DOCS,
-          shard_postings: int = SHARD_POSTINGS) -> Index:
+          shard_postings: int = SHARD_POSTINGS, block: int = BLOCK) -> Index:
     """The index of a whole table, as a table in the shared folder."""
     chosen = df.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"))
 
@@ -183,15 +184,15 @@ def build(df: DataFrame, key: str, text: str, shard_docs: int = SHARD_DOCS,
 
         def written(held: _Shard) -> Iterator[pa.RecordBatch]:
             rows: list[tuple] = []
-            for row in held.rows(next(number), docs, total):
+            for row in held.rows(next(number), docs, total, block):
                 rows.append(row)
                 if len(rows) >= 4096:
-                    yield batch(rows)
+                    yield packed(rows)
                     rows = []
             if rows:
-                yield batch(rows)
+                yield packed(rows)
 
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
+        def packed(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         held = _Shard()
@@ -243,13 +244,14 @@ def _blocks(weights: DataFrame) -> Iterator[dict[int, list[tuple[bytes, int]]]]:
 class _Postings:
     """One term's list in one shard; blocks are decompressed when first asked for."""
 
-    def __init__(self, top: int, lasts: bytes, tops: bytes, sizes: bytes, payload: bytes, df: int, m: np.ndarray):
-        self.top, self.m, self.payload = top, m, payload
+    def __init__(self, top: int, lasts: bytes, tops: bytes, sizes: bytes, payload: bytes, df: int, m: np.ndarray,
+                 block: int = BLOCK):
+        self.top, self.m, self.payload, self.block = top, m, payload, block
         self.lasts, self.tops = np.frombuffer(lasts, np.int32), np.frombuffer(tops, np.int32).astype(np.int64)
         self.ends = np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64)
         self.closed = np.ones(len(self.lasts), bool)
         # Where a block is closed its last document stands in for all, which keeps the list in order.
-        self.docs = np.repeat(self.lasts, BLOCK)[:df]
+        self.docs = np.repeat(self.lasts, block)[:df]
         self.gains = np.zeros(df, np.int64)
 
     def open(self, blocks: np.ndarray) -> int:
@@ -259,7 +261,7 @@ class _Postings:
             end = int(self.ends[b])
             data = _unpack(self.payload[int(self.ends[b - 1]) if b else 0:end])
             steps, tf = np.frombuffer(data, np.int32).reshape(2, -1)
-            at = b * BLOCK
+            at = b * self.block
             docs = np.cumsum(steps) + (int(self.lasts[b - 1]) if b else 0)
             self.docs[at:at + len(docs)] = docs
             self.gains[at:at + len(docs)] = gains(tf, self.m[docs])
@@ -334,7 +336,8 @@ def _search_shard(table: pa.Table, block: dict[int, list[tuple[bytes, int]]], do
     of = rows.pop(_DOCUMENTS)
     ids, none = np.frombuffer(of["lasts"], np.int64), np.frombuffer(of["sizes"], bool)
     m = slow_down(np.frombuffer(of["tops"], np.int64), docs, terms)
-    lists = {t: _Postings(r["top"], r["lasts"], r["tops"], r["sizes"], r["payload"], r["df"], m) for t, r in rows.items()}
+    lists = {t: _Postings(r["top"], r["lasts"], r["tops"], r["sizes"], r["payload"], r["df"], m, of["top"])
+             for t, r in rows.items()}
     q, places, scores = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for query, weights in block.items():
         found = [(w, lists[t]) for t, w in weights if t in lists]

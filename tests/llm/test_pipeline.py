@@ -63,6 +63,6 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql())
     assert [n for n, _ in pipeline.STAGES] == ["language", "near_dup", "substrings", "decontamination", "packing"]
