@@ -31,6 +31,23 @@ ranked AS (
   QUALIFY rank <= 5)"""
 
 
+#: Every seventh event arrives a step late; a step's watermark is that of all steps before it.
+LATE_HOSTS = """
+WITH arrived AS MATERIALIZED (
+  SELECT event_id, CAST(floor(event_id * 4 / (SELECT max(event_id) + 1 FROM events)) AS INT)
+                   + CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END AS step,
+         time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS closes, ts
+  FROM events
+),
+marks AS (
+  SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL '5 seconds' AS mark
+  FROM arrived GROUP BY step
+),
+on_time AS (SELECT event_id FROM arrived JOIN marks USING (step) WHERE mark IS NULL OR closes > mark),
+""" + _ranked("session_num", "session_num", closed=True).replace("FROM events)", "FROM events SEMI JOIN on_time USING (event_id))", 1) \
+    + " SELECT * FROM ranked"
+
+
 def _report(order_by: str, measure: str, head: str, closed: bool = False) -> str:
     return "WITH " + _ranked(order_by, measure, closed) + f"""
 SELECT window_end_ms,
@@ -250,6 +267,7 @@ SQL: dict[str, str] = {
     "threshold_alerts": ALERTS,
     # Streams replayed to the end: windows are out once max(ts) - 5 s has passed their end.
     "stream_top_hosts": "WITH " + _ranked("session_num", SESSIONS, closed=True) + " SELECT * FROM ranked",
+    "stream_top_hosts_late": LATE_HOSTS,
     "stream_top_hosts_by_timer": "WITH " + _ranked("session_num", SESSIONS, closed=True) + " SELECT * FROM ranked",
     "stream_top_hosts_report": _report("packets", PACKETS, "''", closed=True),
     "stream_word_top_n": _word_top_n(CLOSED),

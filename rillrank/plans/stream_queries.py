@@ -1,7 +1,7 @@
 """Named queries that replay the given tables as streams and return what the stream wrote.
 
-The whole table is the stream, taken in as one trigger: files of a table have no order in time,
-so a limit per trigger would make answers depend on their number and age.
+A table is taken in as several triggers, in the order of its times or of its row numbers (`sources.replay`),
+so that watermarks move, windows close and state is evicted while the stream runs.
 """
 
 from __future__ import annotations
@@ -12,31 +12,43 @@ from pyspark.sql import functions as F
 from rillrank.plans import inputs
 from rillrank.plans.table_queries import unnest_alerts
 from rillrank.session import STATE_STORE, run_dir
-from rillrank.sources.lines import read_table
+from rillrank.sources import replay as replays
 from rillrank.streaming import carry, jobs, processors, sinks
 
 QUERIES = {}
+STEPS = 4
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, f"{sf_dir}/events.parquet")
-    # Watermarks need an instant, not a wall-clock time.
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+def _replayed(order: str):
+    """The steps of the events in the order of a column."""
+    return lambda spark, path: replays.replay_of(spark, path, order, STEPS)
 
 
-def replay(fn):
-    """Registers ``fn(spark, sf_dir, path, checkpoint, ...)``, which starts a query and returns it
-    with a function of the written rows."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = run_dir(spark, fn.__name__)
-        for name, value in STATE_STORE.items():
-            spark.conf.set(name, value)
-        started, finish = fn(spark, sf_dir, f"{base}/out", f"{base}/checkpoint", f"{base}/carry")
-        started.awaitTermination()
-        return finish(sinks.read_batches(spark, f"{base}/out"))
+def replay(steps):
+    """Registers ``fn(events, out, checkpoint, carried)``, which starts a query over one step and returns it
+    with a function of all written rows. ``steps`` gives the replay of the events."""
+    def register(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            base = run_dir(spark, fn.__name__)
+            finish = None
 
-    QUERIES[fn.__name__] = run
-    return run
+            def start(events: DataFrame):
+                nonlocal finish
+                # Watermarks need an instant, not a wall-clock time.
+                timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+                started, finish = fn(timed, f"{base}/out", f"{base}/checkpoint", f"{base}/carry")
+                return started
+
+            with sinks.session_settings(spark, STATE_STORE):
+                replays.run(steps(spark, f"{sf_dir}/events.parquet"), spark, start)
+            return finish(sinks.read_batches(spark, f"{base}/out"))
+
+        QUERIES[fn.__name__] = run
+        return run
+    return register
+
+
+by_time, by_number = replay(_replayed("ts")), replay(_replayed("event_id"))
 
 
 def _plain(written: DataFrame) -> DataFrame:
@@ -49,70 +61,84 @@ def _wall_clock(written: DataFrame) -> DataFrame:
     return _plain(written).withColumns({c: F.col(c).cast("timestamp_ntz") for c in bounds})
 
 
-@replay
-def stream_top_hosts(spark, sf_dir, out, checkpoint, _):
-    traffic = inputs.as_traffic(_events(spark, sf_dir))
+@by_time
+def stream_top_hosts(events, out, checkpoint, _):
+    traffic = inputs.as_traffic(events)
     return jobs.stream_top_hosts(traffic, out, checkpoint, size="1 hour", every=None), _plain
 
 
-@replay
-def stream_top_hosts_report(spark, sf_dir, out, checkpoint, _):
-    traffic = inputs.as_traffic(_events(spark, sf_dir))
+@by_time
+def stream_top_hosts_report(events, out, checkpoint, _):
+    traffic = inputs.as_traffic(events)
     return jobs.stream_top_hosts(
         traffic, out, checkpoint, "packets", size="1 hour", report=True, every=None
     ), _plain
 
 
-@replay
-def stream_top_hosts_by_timer(spark, sf_dir, out, checkpoint, _):
+@by_time
+def stream_top_hosts_by_timer(events, out, checkpoint, _):
     """The same ranks through state and event-time timers."""
-    traffic = inputs.as_traffic(_events(spark, sf_dir))
+    traffic = inputs.as_traffic(events)
     return jobs.stream_top_hosts_by_timer(traffic, out, checkpoint, size="1 hour", every=None), _plain
 
 
-@replay
-def stream_word_top_n(spark, sf_dir, out, checkpoint, _):
-    lines = inputs.as_lines(_events(spark, sf_dir))
+def _arrivals(spark: SparkSession, path: str) -> replays.Replay:
+    """Every seventh event arrives a step after its neighbours, so that its window may be closed by then."""
+    events = spark.read.parquet(path)
+    n = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    own = F.floor(F.col("event_id") * STEPS / n)
+    return replays.copy_by_step(events, (own + F.when(F.col("event_id") % 7 == 3, 1).otherwise(0)).cast("int"))
+
+
+@replay(_arrivals)
+def stream_top_hosts_late(events, out, checkpoint, _):
+    """Rows behind the watermark are dropped: they are in no rank and no total."""
+    return jobs.stream_top_hosts(inputs.as_traffic(events), out, checkpoint, size="1 hour", every=None), _plain
+
+
+@by_time
+def stream_word_top_n(events, out, checkpoint, _):
+    lines = inputs.as_lines(events)
     started = jobs.stream_word_top_n(lines, out, checkpoint, "2 hours", "1 hour", "30 minutes", every=None)
     return started, lambda written: _wall_clock(jobs.bucket_top_n(written))
 
 
-@replay
-def stream_json_window_count(spark, sf_dir, out, checkpoint, _):
-    numbers = inputs.as_numbers(_events(spark, sf_dir))
+@by_time
+def stream_json_window_count(events, out, checkpoint, _):
+    numbers = inputs.as_numbers(events)
     return jobs.stream_json_window_count(numbers, out, checkpoint, "1 hour", key="k", every=None), _wall_clock
 
 
-@replay
-def stream_window_all_count(spark, sf_dir, out, checkpoint, _):
-    lines = inputs.as_lines(_events(spark, sf_dir))
+@by_time
+def stream_window_all_count(events, out, checkpoint, _):
+    lines = inputs.as_lines(events)
     return jobs.stream_window_all_count(lines, out, checkpoint, "1 hour", every=None), _wall_clock
 
 
-@replay
-def stream_session_sum(spark, sf_dir, out, checkpoint, _):
-    numbers = inputs.as_numbers(_events(spark, sf_dir))
+@by_time
+def stream_session_sum(events, out, checkpoint, _):
+    numbers = inputs.as_numbers(events)
     measures = {"cnt": ("count", "1"), "total": ("sum", "k")}
     return jobs.stream_sessions(numbers, out, checkpoint, "1 hour", measures, ["user_id"], every=None), _wall_clock
 
 
-@replay
-def stream_word_count(spark, sf_dir, out, checkpoint, _):
-    lines = inputs.as_lines(_events(spark, sf_dir))
+@by_number
+def stream_word_count(events, out, checkpoint, _):
+    lines = inputs.as_lines(events)
     started = jobs.stream_word_count(lines, out, checkpoint, word=None, every=None)
     return started, lambda written: sinks.latest_updates(written, ["word"])
 
 
-@replay
-def stream_running_max(spark, sf_dir, out, checkpoint, _):
-    lines = inputs.as_value_lines(_events(spark, sf_dir))
+@by_number
+def stream_running_max(events, out, checkpoint, _):
+    lines = inputs.as_value_lines(events)
     started = jobs.stream_running_max(lines, out, checkpoint, every=None)
     return started, lambda written: sinks.latest_updates(written, ["word"])
 
 
-@replay
-def stream_breach_flags(spark, sf_dir, out, checkpoint, _):
-    pairs = inputs.as_pairs(_events(spark, sf_dir))
+@by_number
+def stream_breach_flags(events, out, checkpoint, _):
+    pairs = inputs.as_pairs(events)
     return jobs.stream_breach_flags(pairs, out, checkpoint, keep=["seq"], every=None), _plain
 
 
@@ -120,53 +146,53 @@ def _unnest(written: DataFrame) -> DataFrame:
     return unnest_alerts(written.withColumn("alert_no", F.lit(0))).drop("alert_no")
 
 
-@replay
-def stream_threshold_alerts(spark, sf_dir, out, checkpoint, _):
-    pairs = inputs.as_pairs(_events(spark, sf_dir))
+@by_number
+def stream_threshold_alerts(events, out, checkpoint, _):
+    pairs = inputs.as_pairs(events)
     found = processors.threshold_alerts(pairs)
     return sinks.start(found, sinks.to_alert_files(out), checkpoint, every=None), _unnest
 
 
-@replay
-def stream_count_window_slide(spark, sf_dir, out, checkpoint, _):
-    numbers = inputs.as_numbers(_events(spark, sf_dir))
+@by_number
+def stream_count_window_slide(events, out, checkpoint, _):
+    numbers = inputs.as_numbers(events)
     sums = processors.count_window_slide(numbers, "user_id", "seq", 5, 2, "k")
     return sinks.start(sums, sinks.to_files(out), checkpoint, every=None), _plain
 
 
-@replay
-def batched_threshold_alerts(spark, sf_dir, out, checkpoint, carried):
-    pairs = inputs.as_pairs(_events(spark, sf_dir))
+@by_number
+def batched_threshold_alerts(events, out, checkpoint, carried):
+    pairs = inputs.as_pairs(events)
     return carry.start(pairs, carry.threshold_alerts(), "seq", out, carried, checkpoint, every=None, persist=False), _unnest
 
 
-@replay
-def batched_count_window_all(spark, sf_dir, out, checkpoint, carried):
-    numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "k")
+@by_number
+def batched_count_window_all(events, out, checkpoint, carried):
+    numbers = inputs.as_numbers(events).select("seq", "k")
     return carry.start(
         numbers, carry.count_window_all("seq", 5, "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
 
 
-@replay
-def batched_count_window_slide(spark, sf_dir, out, checkpoint, carried):
-    numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
+@by_number
+def batched_count_window_slide(events, out, checkpoint, carried):
+    numbers = inputs.as_numbers(events).select("seq", "user_id", "k")
     return carry.start(
         numbers, carry.count_window_slide(["user_id"], "seq", 5, 2, "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
 
 
-@replay
-def batched_running_sum(spark, sf_dir, out, checkpoint, carried):
-    numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
+@by_number
+def batched_running_sum(events, out, checkpoint, carried):
+    numbers = inputs.as_numbers(events).select("seq", "user_id", "k")
     return carry.start(
         numbers, carry.running_sum(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain
 
 
-@replay
-def batched_running_max(spark, sf_dir, out, checkpoint, carried):
-    numbers = inputs.as_numbers(_events(spark, sf_dir)).select("seq", "user_id", "k")
+@by_number
+def batched_running_max(events, out, checkpoint, carried):
+    numbers = inputs.as_numbers(events).select("seq", "user_id", "k")
     return carry.start(
         numbers, carry.running_max(["user_id"], "seq", "k"), "seq", out, carried, checkpoint, every=None, persist=False
     ), _plain

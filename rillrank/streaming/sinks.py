@@ -69,12 +69,11 @@ def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 @contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+def session_settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the start of a query, which copies them, put back afterwards."""
-    names = {f"spark.sql.streaming.{name}": value for name, value in values.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
-        for name, value in names.items():
+        for name, value in values.items():
             spark.conf.set(name, value)
         yield
     finally:
@@ -82,6 +81,11 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def settings(spark: SparkSession, **values: str):
+    """Settings of Structured Streaming."""
+    return session_settings(spark, {f"spark.sql.streaming.{name}": value for name, value in values.items()})
+
+
 def single_operator(spark: SparkSession):
     """For streams with one stateful operator: a row behind the watermark is always dropped.
 
