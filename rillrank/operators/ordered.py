@@ -1,15 +1,16 @@
 """Per-key computations in row order that survive hot keys.
 
-A window partitioned by the key puts a whole key into one task. Here a key with more
-than ``chunk_rows`` rows is cut into consecutive chunks of its order column; each chunk
-is computed on its own, and what earlier chunks hand over (a sum, a maximum, a count)
-is taken from one small row per chunk. Keys below the limit keep the plain window.
+A window partitioned by the key puts a whole key into one task. Where a key has more than ``chunk_rows``
+rows, running aggregates and sliding sums go through the prefix scan of ``operators.scan`` instead: rows are
+dealt by ranges of (key, order), whatever the sizes of the keys. Below that the plain window is used, which
+needs one shuffle and no table. Sessions cut hot keys into chunks of their order column
+(``chunk_hot_keys``).
 
 The order column must be integral and unique per key; rows of equal order would have
 no defined sequence in any engine.
 
-Sums of integers and decimals are exact. Floating values are summed as DECIMAL(38,12), so that
-totals are the same however a key is split; values beyond its range, NaN and infinities count as NULL.
+Sums of integers and decimals are exact. Sums of floating values always go through the scan, which adds
+without rounding, so that totals are the same however a key is split; NaN and infinities do what they do in any sum.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillrank.operators.scan import Asked, scan, with_earlier
+
 CHUNK = "_chunk"
 HOT = "_hot"
 _ALL = "_all"
@@ -32,16 +35,13 @@ _ALL = "_all"
 class Skew:
     """Limits of the hot-key handling.
 
-    chunk_rows: a key with more rows is split; also the aimed size of a chunk.
-    max_hot_keys: the list of hot keys is broadcast up to this length; beyond it every
+    chunk_rows: a key with more rows is split.
+    max_hot_keys: of sessions: the list of hot keys is broadcast up to this length; beyond it every
         key is chunked, which needs no list.
-    max_carry_rows: the handed-over rows are broadcast up to this bound, else joined by
-        the partitioning of the chunks.
     """
 
     chunk_rows: int = 5_000_000
     max_hot_keys: int = 10_000
-    max_carry_rows: int = 200_000
 
 
 @dataclass(frozen=True)
@@ -49,8 +49,6 @@ class Chunked:
     rows: DataFrame
     keys: list[str]
     split: bool
-    # An upper bound of the (hot key, chunk) pairs; None if it is not known to be small.
-    carry_rows: int | None
 
     @property
     def groups(self) -> list[str]:
@@ -65,7 +63,7 @@ def chunk_hot_keys(df: DataFrame, keys: list[str], order: str, skew: Skew = Skew
     # At most max_hot_keys + 1 rows reach the driver.
     hot = sizes.limit(skew.max_hot_keys + 1).collect()
     if not hot:
-        return Chunked(df.withColumns({CHUNK: F.lit(0), HOT: F.lit(False)}), keys, False, 0)
+        return Chunked(df.withColumns({CHUNK: F.lit(0), HOT: F.lit(False)}), keys, False)
 
     if len(hot) > skew.max_hot_keys:
         tagged, total = df.withColumn(HOT, F.lit(True)), df.count()
@@ -80,20 +78,21 @@ def chunk_hot_keys(df: DataFrame, keys: list[str], order: str, skew: Skew = Skew
         )
         total = sum(row["_n"] for row in hot)
 
-    chunk, n_chunks = _chunk_of(tagged.filter(HOT), order, total, skew.chunk_rows)
+    chunk = _chunk_of(tagged.filter(HOT), order, total, skew.chunk_rows)
     rows = tagged.withColumn(CHUNK, F.when(F.col(HOT), chunk).otherwise(0))
-    bound = len(hot) * n_chunks if len(hot) <= skew.max_hot_keys else None
-    if bound is not None and bound > skew.max_carry_rows:
-        bound = None
-    return Chunked(rows, keys, True, bound)
+    return Chunked(rows, keys, True)
+
+
+def _same(pairs: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(left).eqNullSafe(F.col(right)) for left, right in pairs.items()])
 
 
 _SEGMENTS = 128
 _FAN = 64
 
 
-def _chunk_of(hot: DataFrame, order: str, total: int, chunk_rows: int) -> tuple[Column, int]:
-    """Chunk number of a row, and how many there are.
+def _chunk_of(hot: DataFrame, order: str, total: int, chunk_rows: int) -> Column:
+    """Chunk number of a row.
 
     Quantiles cut the order column into up to 128 segments of equal row count (a balanced
     CASE tree, 7 comparisons per row); each is cut evenly by value into up to 64.
@@ -105,19 +104,19 @@ def _chunk_of(hot: DataFrame, order: str, total: int, chunk_rows: int) -> tuple[
     cuts = hot.agg(F.percentile_approx(order, probabilities, 10_000).alias("cuts")).first()["cuts"]
     bounds = sorted(set(cuts))
     if len(bounds) < 2:
-        return F.lit(0), 1
+        return F.lit(0)
     inner = bounds[1:-1]
     x = F.col(order).cast("bigint")
     segment = _search(x, inner, 0)
     if fan == 1:
-        return segment, len(inner) + 1
+        return segment
     low = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bounds[:-1]]), segment + 1)
     width = F.element_at(
         F.array(*[F.lit(max(1, b - a)).cast("bigint") for a, b in zip(bounds, bounds[1:])]), segment + 1
     )
     # Rows outside the sampled range fall into the first or last piece.
     piece = F.greatest(F.lit(0), F.least(F.lit(fan - 1), F.floor((x - low) / width * fan).cast("int")))
-    return segment * fan + piece, (len(inner) + 1) * fan
+    return segment * fan + piece
 
 
 def _search(x: Column, bounds: list[int], first: int) -> Column:
@@ -132,82 +131,37 @@ def _search(x: Column, bounds: list[int], first: int) -> Column:
 
 @dataclass(frozen=True)
 class Measure:
-    """A running aggregate: how to compute it in a chunk, how the results of chunks
-    fold together, and how to add what came before to a row's value."""
+    """A running aggregate: its kind in a scan and its window aggregate."""
 
+    kind: str
     aggregate: Callable[[Column], Column]
-    fold: Callable[[Column], Column]
-    combine: Callable[[Column, Column], Column]
 
 
-SUM = Measure(F.sum, F.sum, lambda here, before: F.coalesce(here + before, here, before))
-MAX = Measure(F.max, F.max, lambda here, before: F.greatest(here, before))
-# One digit less on either side, so that their sum keeps its scale.
-_EXACT_SUM = Measure(lambda c: F.sum(c.try_cast("decimal(38,12)")), F.sum, lambda here, before: F.coalesce(
-    here.cast("decimal(37,12)") + before.cast("decimal(37,12)"), here, before))
-COUNT = Measure(F.count, F.sum, lambda here, before: here + F.coalesce(before, F.lit(0)))
+SUM = Measure("sum", F.sum)
+MAX = Measure("max", F.max)
+COUNT = Measure("count", F.count)
+
+
+def has_hot_key(df: DataFrame, keys: list[str], skew: Skew) -> bool:
+    """Whether a key, or without keys the table, has more rows than one task should get. One count per key."""
+    return not df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > skew.chunk_rows).isEmpty()
 
 
 def running(df: DataFrame, keys: list[str], order: str,
             measures: dict[str, tuple[Measure, Column]], skew: Skew = Skew()) -> DataFrame:
     """Each row with the aggregates of its key up to and including itself."""
-    chunked = chunk_hot_keys(df, keys, order, skew)
-    return running_chunked(chunked, order, measures).drop(CHUNK, HOT, _ALL)
-
-
-def running_chunked(chunked: Chunked, order: str, measures: dict[str, tuple[Measure, Column]]) -> DataFrame:
-    floats = _float_sums(chunked.rows, measures)
-    measures = {n: (_EXACT_SUM if n in floats else m, c) for n, (m, c) in measures.items()}
-    out = _running_chunked(chunked, order, measures)
-    return out.withColumns({n: F.col(n).cast("double") for n in floats}) if floats else out
-
-
-def _float_sums(rows: DataFrame, measures: dict[str, tuple[Measure, Column]]) -> list[str]:
-    """Sums of floating values depend on how rows are grouped; these are computed in decimals."""
-    return [n for n, (m, c) in measures.items()
-            if m is SUM and isinstance(rows.select(c).schema[0].dataType, (T.DoubleType, T.FloatType))]
-
-
-def _running_chunked(chunked: Chunked, order: str, measures: dict[str, tuple[Measure, Column]]) -> DataFrame:
-    groups = chunked.groups if chunked.split else chunked.keys
-    here = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = chunked.rows.withColumns({n: m.aggregate(c).over(here) for n, (m, c) in measures.items()})
-    if not chunked.split:
-        return local
-    per_chunk = (
-        chunked.rows.filter(HOT).groupBy(*groups)
-        .agg(*[m.aggregate(c).alias(f"_before_{n}") for n, (m, c) in measures.items()])
-    )
-    carried = carry_in(per_chunk, chunked, {f"_before_{n}": m.fold for n, (m, _) in measures.items()})
-    joined = join_carry(local, carried, chunked)
-    return joined.withColumns(
-        {n: m.combine(F.col(n), F.col(f"_before_{n}")) for n, (m, _) in measures.items()}
-    ).drop(*[f"_before_{n}" for n in measures])
-
-
-def carry_in(per_chunk: DataFrame, chunked: Chunked,
-             folds: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Turns one row per (hot key, chunk) into what the key's earlier chunks add up to.
-
-    A key has at most 128 * 64 such rows, so this window never sees a large group.
-    """
-    earlier = (
-        Window.partitionBy(*chunked.keys).orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return per_chunk.withColumns({n: fold(F.col(n)).over(earlier) for n, fold in folds.items()})
-
-
-def _same(pairs: dict[str, str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(left).eqNullSafe(F.col(right)) for left, right in pairs.items()])
-
-
-def join_carry(local: DataFrame, carried: DataFrame, chunked: Chunked) -> DataFrame:
-    names = {g: f"_c_{g}" for g in chunked.groups}
-    side = carried.withColumnsRenamed(names)
-    if chunked.carry_rows is not None:
-        side = F.broadcast(side)
-    return local.join(side, _same(names), "left").drop(*names.values())
+    if not (_float_sums(df, measures) or has_hot_key(df, keys, skew)):
+        here = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({n: m.aggregate(c).over(here) for n, (m, c) in measures.items()})
+    asked = [Asked(n, m.kind, c) for n, (m, c) in measures.items()]
+    rows = with_earlier(scan(df, keys, order, asked), asked)
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *measures)
+
+
+def _float_sums(rows: DataFrame, measures: dict[str, tuple[Measure, Column]]) -> bool:
+    """Whether a sum of floating values is asked for: in a window it would depend on how rows are grouped."""
+    return any(m is SUM and isinstance(rows.select(c).schema[0].dataType, (T.DoubleType, T.FloatType))
+               for m, c in measures.values())
 
 
 def running_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str = "total",

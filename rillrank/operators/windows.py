@@ -6,11 +6,14 @@ All forms work on batch and streaming DataFrames except where said. Results carr
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from rillrank.operators.ordered import CHUNK, COUNT, HOT, Skew, chunk_hot_keys, consecutive_groups, running_chunked
+from rillrank.operators.ordered import CHUNK, HOT, Skew, chunk_hot_keys, consecutive_groups, has_hot_key
+from rillrank.operators.scan import Asked, scan, slide_over_parts, with_earlier
 
 # name of the result -> (aggregate, input expression). An aggregate is "count", "sum", "max" or "min":
 # those whose partial results can be aggregated again.
@@ -180,25 +183,17 @@ def count_window_slide(df: DataFrame, keys: list[str], order: str, size: int, sl
     """
     old = F.col(carried) if carried else F.lit(False)
     rows = df.select(*keys, F.col(order).alias("_seq"), F.col(value).alias("_value"), old.alias("_old"))
-    chunked = chunk_hot_keys(rows, keys, "_seq", skew)
-    numbered = running_chunked(chunked, "_seq", {"_no": (COUNT, F.lit(1))})
-    if not chunked.split:
-        last = Window.partitionBy(*chunked.keys).orderBy("_seq").rowsBetween(1 - size, Window.currentRow)
-        return (
-            numbered.withColumn("total", F.sum("_value").over(last))
-            .filter((F.col("_no") % slide == 0) & ~F.col("_old"))
-            .select(*keys, F.col("_no").alias("fired_at"), F.col("_seq").alias("last_seq"), "total")
-        )
-    # Windows reach over chunks: each row goes to the firings it belongs to, which spreads
-    # the work by (key, firing) however long a key is.
-    step = F.lit(slide).cast("bigint")
-    first = F.ceil(F.col("_no") / slide).cast("bigint") * step
-    # The stop lies past the last firing so that the sequence never runs backwards.
-    firings = F.filter(F.sequence(first, F.col("_no") + size - 1 + step, step), lambda f: f < F.col("_no") + size)
-    return (
-        numbered.select(*keys, "_seq", "_value", "_old", "_no", F.explode(firings).alias("fired_at"))
-        .groupBy(*keys, "fired_at")
-        .agg(F.max("_seq").alias("last_seq"), F.sum("_value").alias("total"),
-             F.max("_no").alias("_last"), F.min("_old").alias("_old"))
-        .filter((F.col("_last") == F.col("fired_at")) & ~F.col("_old")).drop("_last", "_old")
-    )
+    fired = (F.col("_no") % slide == 0) & ~F.col("_old")
+    if not has_hot_key(rows, keys, skew):
+        whole = Window.partitionBy(*keys).orderBy("_seq")
+        totals = rows.withColumns({
+            "_no": F.count(F.lit(1)).over(whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "total": F.sum("_value").over(whole.rowsBetween(1 - size, Window.currentRow)),
+        })
+    else:
+        # Windows reach over partitions only in the first rows of a partition's first run.
+        asked = [Asked("_no", "count", F.lit(1)), Asked("total", "slide", F.col("_value"), size)]
+        scanned = scan(rows, keys, "_seq", asked)
+        summed = replace(scanned, rows=slide_over_parts(scanned, "total", "_value", size))
+        totals = with_earlier(summed, asked)
+    return totals.filter(fired).select(*keys, F.col("_no").alias("fired_at"), F.col("_seq").alias("last_seq"), "total")

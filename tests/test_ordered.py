@@ -17,7 +17,7 @@ SKEWS = {
     "hot keys broadcast": Skew(chunk_rows=40),
     "many pieces": Skew(chunk_rows=2),
     "too many hot keys to list": Skew(chunk_rows=20, max_hot_keys=0),
-    "carry joined by partitioning": Skew(chunk_rows=10, max_carry_rows=0),
+    "few rows at once": Skew(chunk_rows=10),
 }
 
 
