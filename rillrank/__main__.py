@@ -17,7 +17,7 @@ from rillrank.sources.lines import FileLines, KafkaLines, SocketLines, read_line
 from rillrank.streaming import carry, jobs, processors, sinks
 
 
-def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _lines(spark: SparkSession, args: argparse.Namespace, place: bool = False) -> DataFrame:
     match args.source:
         case "kafka":
             spec = KafkaLines(args.servers, args.topic, args.group)
@@ -26,7 +26,7 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             spec = SocketLines(host, int(port))
         case _:
             spec = FileLines(args.path, args.files_per_trigger)
-    return read_lines(spark, spec, streaming=True)
+    return read_lines(spark, spec, streaming=True, place=place)
 
 
 def _rejects(parsed: json_records.Parsed, args: argparse.Namespace, every: str | None) -> list[StreamingQuery]:
@@ -39,12 +39,14 @@ def _rejects(parsed: json_records.Parsed, args: argparse.Namespace, every: str |
 def top_hosts(spark, args, every):
     parsed = plans.traffic_of_lines(_lines(spark, args), "failfast" if args.failfast else "permissive")
     started = jobs.stream_top_hosts(
-        parsed.rows, args.out, args.checkpoint, args.order_by, args.n, report=args.report, every=every)
+        parsed.rows, args.out, args.checkpoint, args.order_by, args.n, report=args.report, delay=args.delay,
+        every=every, show=args.print)
     return [started, *_rejects(parsed, args, every)]
 
 
 def word_top_n(spark, args, every):
-    return [jobs.stream_word_top_n(_lines(spark, args), args.out, args.checkpoint, n=args.n, every=every)]
+    return [jobs.stream_word_top_n(_lines(spark, args), args.out, args.checkpoint, n=args.n, delay=args.delay,
+                                   every=every, show=args.print)]
 
 
 def json_window_count(spark, args, every):
@@ -61,6 +63,17 @@ def running_max(spark, args, every):
     return [jobs.stream_running_max(_lines(spark, args), args.out, args.checkpoint, args.failfast, every)]
 
 
+def line_counts(spark, args, every):
+    lines = _lines(spark, args, place=True)
+    return [jobs.stream_record_counts(lines, args.out, f"{args.checkpoint}-carried", args.checkpoint, args.word, every=every)]
+
+
+def line_maxima(spark, args, every):
+    lines = _lines(spark, args, place=True)
+    return [jobs.stream_record_maxima(lines, args.out, f"{args.checkpoint}-carried", args.checkpoint, args.failfast,
+                                      every=every)]
+
+
 def window_all_count(spark, args, every):
     return [jobs.stream_window_all_count(_lines(spark, args), args.out, args.checkpoint, every=every)]
 
@@ -112,7 +125,7 @@ def word_sessions(spark, args, every):
 JOBS: dict[str, Callable[..., list[StreamingQuery]]] = {
     fn.__name__.replace("_", "-"): fn
     for fn in (top_hosts, word_top_n, json_window_count, running_word_count, running_max, window_all_count,
-               breach_flags, threshold_alerts, record_sums, record_maxima, carried_alerts, count_window_all,
+               line_counts, line_maxima, breach_flags, threshold_alerts, record_sums, record_maxima, carried_alerts, count_window_all,
                count_window_slide, word_sessions)
 }
 
@@ -138,6 +151,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--slide", type=int, default=fixed.COUNT_WINDOW_SLIDE)
     p.add_argument("--gap", default=fixed.SESSION_GAP, help="of session windows")
     p.add_argument("--files-per-trigger", type=int, help="no limit if not given")
+    p.add_argument("--delay", default=fixed.WATERMARK_DELAY, help="how late a row may be, of the top jobs")
+    p.add_argument("--print", action="store_true", help="print the results of the top jobs as well")
     p.add_argument("--failfast", action="store_true", help="stop at an unreadable line")
     p.add_argument("--once", action="store_true", help="process what is there and stop")
     return p.parse_args(argv)

@@ -285,6 +285,10 @@ SQL: dict[str, str] = {
         "user_id", "1 hour", "count(*) AS cnt, CAST(sum(k) AS BIGINT) AS total") + f") {CLOSED}",
     "stream_word_count": LATEST_COUNT,
     "stream_running_max": LATEST_LARGEST,
+    "stream_record_counts": "WITH " + LINES + """
+SELECT seq AS line, word, row_number() OVER (PARTITION BY word ORDER BY seq, place) AS total
+FROM (SELECT seq, unnest(string_split(value, ',')) AS word, unnest(range(len(string_split(value, ',')))) AS place FROM lines)""",
+    "stream_record_maxima": RUNNING_MAX.replace("event_id AS seq", "event_id AS line"),
     "stream_breach_flags": "SELECT event_id AS seq, 'dsadsad' AS message FROM events WHERE value > 100",
     "stream_threshold_alerts": f"SELECT * EXCLUDE (alert_no) FROM ({ALERTS})",
     "stream_count_window_slide": f"SELECT user_id AS key, fired_at, last_seq, total FROM ({COUNT_SLIDE})",

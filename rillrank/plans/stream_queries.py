@@ -136,6 +136,26 @@ def stream_running_max(events, out, checkpoint, _):
     return started, lambda written: sinks.latest_updates(written, ["word"])
 
 
+def _placed(lines: DataFrame) -> DataFrame:
+    """Table lines with their number as place, which is kept as ``line``."""
+    return lines.select(F.struct("seq").alias("place"), F.col("seq").alias("line"), "value")
+
+
+@by_number
+def stream_record_counts(events, out, checkpoint, carried):
+    """Every occurrence of every word with its count so far."""
+    lines = _placed(inputs.as_lines(events))
+    started = jobs.stream_record_counts(lines, out, carried, checkpoint, word=None, keep=["line"], every=None)
+    return started, lambda written: _plain(written).select("line", "word", "total")
+
+
+@by_number
+def stream_record_maxima(events, out, checkpoint, carried):
+    lines = _placed(inputs.as_value_lines(events))
+    started = jobs.stream_record_maxima(lines, out, carried, checkpoint, keep=["line"], every=None)
+    return started, lambda written: _plain(written).select("line", "word", "count", "largest")
+
+
 @by_number
 def stream_breach_flags(events, out, checkpoint, _):
     pairs = inputs.as_pairs(events)

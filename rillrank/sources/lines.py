@@ -68,24 +68,31 @@ class FileLines:
         return {}
 
 
-def read_lines(spark: SparkSession, spec: KafkaLines | SocketLines | FileLines, streaming: bool) -> DataFrame:
+def read_lines(spark: SparkSession, spec: KafkaLines | SocketLines | FileLines, streaming: bool,
+               place: bool = False) -> DataFrame:
+    """``place`` adds a column of that name which orders lines as they arrived: by broker time, partition and
+    offset, or by file time, file and part of the file. Lines of one place are in the order they are read."""
     opts = spec.options(streaming)
+    place_of = (lambda *columns: [F.struct(*columns).alias("place")]) if place else (lambda *columns: [])
     reader = spark.readStream if streaming else spark.read
     match spec:
         case KafkaLines():
             return (
                 reader.format("kafka").options(**opts).load()
-                .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival_ts"))
+                .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival_ts"),
+                        *place_of("timestamp", "partition", "offset"))
             )
         case SocketLines():
             return (
                 reader.format("socket").options(**opts).load()
-                .select("value", F.col("timestamp").alias("arrival_ts"))
+                .select("value", F.col("timestamp").alias("arrival_ts"), *place_of("timestamp"))
             )
         case FileLines():
             return (
                 reader.format("text").options(**opts).load(spec.path)
-                .select("value", F.col("_metadata.file_modification_time").alias("arrival_ts"))
+                .select("value", F.col("_metadata.file_modification_time").alias("arrival_ts"),
+                        *place_of(*[F.col(f"_metadata.{c}").alias(c) for c in
+                                    ("file_modification_time", "file_path", "file_block_start")]))
             )
     raise TypeError(f"not a line source: {spec!r}")
 

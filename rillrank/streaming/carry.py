@@ -44,15 +44,22 @@ class Step:
 
 
 def start(df: DataFrame, step: Step, order: str, path: str, carry_path: str, checkpoint: str,
-          every: str | None = fixed.CHECKPOINT_INTERVAL, persist: bool = True) -> StreamingQuery:
+          every: str | None = fixed.CHECKPOINT_INTERVAL, persist: bool = True, place: str | None = None) -> StreamingQuery:
     """Rows of later batches follow all rows of earlier ones, as they arrived.
 
+    ``place`` names a column that orders the rows of a batch but is no number: each batch's rows are then numbered
+    by it, from 1, and ``order`` is that number. Rows of one place must lie in one partition, in their order.
+
     A batch is read several times. ``persist`` keeps it for that, which pays for a broker;
     for columnar files of any number reading again is the better choice.
     """
-    spark, schema = df.sparkSession, df.schema
+    schema = df.schema if place is None else T.StructType(
+        [*[f for f in df.schema.fields if f.name != place], T.StructField(order, T.LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if place is not None:
+            exact = batch.withColumn(place, F.struct(place, F.monotonically_increasing_id()))
+            batch = ordered.number_rows(exact, [], place, order).drop(place)
         if persist:
             batch.persist()
         try:

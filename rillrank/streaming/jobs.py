@@ -13,7 +13,7 @@ from rillrank import fixed
 from rillrank.functions import text
 from rillrank.operators import alerts, counting, ranking, windows
 from rillrank.plans import jobs
-from rillrank.streaming import processors, sinks
+from rillrank.streaming import carry, processors, sinks
 
 
 def host_windows(traffic: DataFrame, size: str = fixed.EVENT_WINDOW, delay: str = fixed.WATERMARK_DELAY,
@@ -24,8 +24,8 @@ def host_windows(traffic: DataFrame, size: str = fixed.EVENT_WINDOW, delay: str
 def stream_top_hosts(traffic: DataFrame, path: str, checkpoint: str, order_by: str = "session_num",
                      n: int = fixed.TOP_N, size: str = fixed.EVENT_WINDOW, delay: str = fixed.WATERMARK_DELAY,
                      ts: str = "event_time", report: bool = False,
-                     every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Top hosts of each closed window.
+                     every: str | None = fixed.CHECKPOINT_INTERVAL, show: bool = False) -> StreamingQuery:
+    """Top hosts of each closed window, printed as well if ``show``.
 
     All hosts of a window are emitted in the batch in which the watermark passes its end,
     so ranking inside the batch sees the window whole; no state holds a window's hosts.
@@ -35,7 +35,7 @@ def stream_top_hosts(traffic: DataFrame, path: str, checkpoint: str, order_by: s
         return ranking.render_report(ranked) if report else ranked
 
     with sinks.single_operator(traffic.sparkSession):
-        return sinks.start(host_windows(traffic, size, delay, ts), sinks.to_files(path, shape), checkpoint, every=every)
+        return sinks.start(host_windows(traffic, size, delay, ts), sinks.to_files(path, shape, show), checkpoint, every=every)
 
 
 def stream_top_hosts_by_timer(traffic: DataFrame, path: str, checkpoint: str, order_by: str = "session_num",
@@ -66,8 +66,8 @@ def stream_top_hosts_by_timer(traffic: DataFrame, path: str, checkpoint: str, or
 def stream_word_top_n(lines: DataFrame, path: str, checkpoint: str, size: str = fixed.WORD_WINDOW,
                       slide: str = fixed.WORD_SLIDE, bucket: str = fixed.WORD_BUCKET, n: int = fixed.TOP_N,
                       delay: str = fixed.WATERMARK_DELAY, ts: str = "arrival_ts",
-                      every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
-    """Top words of each closed word window, labelled with their bucket.
+                      every: str | None = fixed.CHECKPOINT_INTERVAL, show: bool = False) -> StreamingQuery:
+    """Top words of each closed word window, labelled with their bucket; printed as well if ``show``.
 
     ``bucket_top_n`` gives the final ranks. A bucket no longer than the slide holds one word
     window; a longer one holds several, and its top N are among theirs.
@@ -77,7 +77,7 @@ def stream_word_top_n(lines: DataFrame, path: str, checkpoint: str, size: str =
 
     counts = jobs.word_windows(lines.withWatermark(ts, delay), size, slide, ts)
     with sinks.single_operator(lines.sparkSession):
-        return sinks.start(counts, sinks.to_files(path, shape), checkpoint, every=every)
+        return sinks.start(counts, sinks.to_files(path, shape, show), checkpoint, every=every)
 
 
 def bucket_top_n(candidates: DataFrame, n: int = fixed.TOP_N) -> DataFrame:
@@ -121,6 +121,30 @@ def stream_running_max(lines: DataFrame, path: str, checkpoint: str, failfast: b
     return sinks.start(largest, sinks.to_files(path), checkpoint, "update", every)
 
 
+def stream_record_counts(lines: DataFrame, path: str, carried: str, checkpoint: str, word: str | None = fixed.KEPT_WORD,
+                         keep: list[str] | None = None, every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
+    """A row per occurrence of ``word`` (of any word if None) with its count so far, in the order of ``place``.
+
+    A word that a line repeats follows itself. ``seq`` numbers the records of a batch; ``keep`` names columns of
+    the lines to carry along.
+    """
+    fields = text.java_split(F.col("value"), ",")
+    words = lines.select("place", *(keep or []), F.explode(fields).alias("word")).withColumn(
+        "cnt", F.lit(1).cast("bigint"))
+    if word is not None:
+        words = text.keep_word(words, word)
+    return carry.start(words, carry.running_sum(["word"], "seq", "cnt"), "seq", path, carried, checkpoint, every=every,
+                       place="place")
+
+
+def stream_record_maxima(lines: DataFrame, path: str, carried: str, checkpoint: str, failfast: bool = True,
+                         keep: list[str] | None = None, every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
+    """A row per ``word,count`` line with the word's largest count so far, in the order of ``place``."""
+    pairs = text.parse_word_count(lines.select("place", *(keep or []), "value"), failfast=failfast)
+    return carry.start(pairs, carry.running_max(["word"], "seq", "count"), "seq", path, carried, checkpoint, every=every,
+                       place="place")
+
+
 def stream_breach_flags(pairs: DataFrame, path: str, checkpoint: str, threshold: float = fixed.ALERT_THRESHOLD,
                         keep: list[str] | None = None,
                         every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:

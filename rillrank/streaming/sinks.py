@@ -32,10 +32,12 @@ def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/{BATCH}={batch_id}"
 
 
-def to_files(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchWriter:
-    """Writes each batch to its own folder; a replay overwrites the folder."""
+def to_files(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df, show: bool = False) -> BatchWriter:
+    """Writes each batch to its own folder; a replay overwrites the folder. ``show`` prints what was written."""
     def write(batch: DataFrame, batch_id: int) -> None:
         shape(batch).write.mode("overwrite").parquet(batch_path(path, batch_id))
+        if show:
+            to_console()(batch.sparkSession.read.parquet(batch_path(path, batch_id)), batch_id)
     return write
 
 

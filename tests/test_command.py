@@ -92,3 +92,25 @@ def test_jobs_with_carried_rows(spark, tmp_path, job, options, columns, expected
 def test_unknown_job():
     with pytest.raises(SystemExit):
         command.parse(["other", "--out", "o", "--checkpoint", "c"])
+
+
+def test_counts_per_record_from_text_files(spark, start, tmp_path):
+    """Two starts over the same folder: counts go on, and a word that a line repeats follows itself."""
+    start("line-counts", [["a,b,a", "", "a", "b,b,a"], ["x,a", "a"]])
+    first = sinks.read_batches(spark, str(tmp_path / "out")).collect()
+    assert sorted(r.total for r in first) == [1, 2, 3, 4, 5, 6] and [r.seq for r in sorted(first, key=lambda r: r.total)] == [*range(1, 7)]
+    got = start("line-counts", [["a,b,a", "", "a", "b,b,a"], ["x,a", "a"], ["a,a", "c"]]).collect()
+    assert sorted(r.total for r in got) == [*range(1, 9)] and {r.word for r in got} == {"a"}
+
+
+def test_maxima_per_record_from_text_files(spark, start, tmp_path):
+    got = start("line-maxima", [["a,3", "a,1", "b,5", "a,7", "b,2"]]).orderBy("seq").collect()
+    assert [(r.word, r["count"], r.largest) for r in got] == [("a", 3, 3), ("a", 1, 3), ("b", 5, 5), ("a", 7, 7), ("b", 2, 5)]
+
+
+def test_results_are_printed_too(start, monkeypatch):
+    """Rows are printed by the executors; here the sink says what it was given."""
+    shown = []
+    monkeypatch.setattr(sinks, "to_console", lambda: lambda batch, batch_id: shown.extend(batch.collect()))
+    got = start("top-hosts", [[hit(1000, "a"), hit(30_000, "end")]], "--print", "--delay", "2 seconds").collect()
+    assert [r.client_ip for r in got] == [r.client_ip for r in shown] == ["a"]
