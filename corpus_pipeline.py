@@ -31,8 +31,11 @@ def _as_given(docs: DataFrame) -> list:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: without a text, or without a letter."""
+    """Drops documents in which no language can be told: without a text, or without a letter. Where no label can be
+    learned from, only those without a letter are dropped."""
     model = language.fit(docs.where(~held_out(4)))
+    if not model.languages:
+        return language.with_letters(docs)
     return language.predict(docs, model).where(F.col("lang_pred") != language.UNKNOWN).select(*_as_given(docs))
 
 

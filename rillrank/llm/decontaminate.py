@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillrank.llm.tables import fresh
 from rillrank.llm.tasks import map_batches, slices
 
 PASSAGE, STEP = 48, 16
@@ -327,5 +328,6 @@ def _search(texts: DataFrame, block: Block, similarity: float) -> DataFrame:
 
 def without_leaks(docs: DataFrame, found: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """`docs` without those named in `found`; columns as given. Rows without an id stay."""
-    named = found.select(F.col(id_column).alias("_leaked")).where(F.col("_leaked").isNotNull()).distinct()
-    return docs.join(named, F.col(f"`{id_column}`") == F.col("_leaked"), "left_anti")
+    leaked, = fresh(docs.columns, "leaked")
+    named = found.select(F.col(id_column).alias(leaked)).where(F.col(leaked).isNotNull()).distinct()
+    return docs.join(named, F.col(f"`{id_column}`") == F.col(leaked), "left_anti")

@@ -5,8 +5,8 @@ hashed to DIMENSIONS places, square-rooted and scaled to length one. Linear supp
 (squared hinge) tell families apart one against the rest, and the languages of a family in pairs by
 vote; ties go to the larger sum of margins.
 
-Fitting takes at most `max_rows` labelled rows, the same share from each language, chosen by a hash of
-the id; this documented bound is what keeps it on one machine. Language counts cover all rows, and
+Fitting takes at most `max_rows` labelled rows, at most the same share from each language, chosen by a hash
+of the id (one row of each if there are more languages than rows; more than MAX_LANGUAGES are refused); this documented bound is what keeps it on one machine. Language counts cover all rows, and
 prediction covers every whole text.
 
 Null texts and texts without a letter are `und` with score 0, and so is every text if nothing was
@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,7 +172,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
                                                  names=["lang", "draw", "features"])
 
     sample = map_batches(drawn, measure, "lang string, draw bigint, features binary")
-    got = sample.orderBy("draw", "lang").limit(max_rows).collect()
+    # The share is a language's own: the excess of one never takes the place of another's.
+    by = Window.partitionBy("lang").orderBy("draw", "features")
+    got = sample.withColumn("place", F.row_number().over(by)).where(F.col("place") <= share).drop("place").collect()
     if not got:
         return Model()
     got.sort(key=lambda r: (r["lang"], r["draw"], bytes(r["features"])))
@@ -180,10 +182,19 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     return Model.fit(x, [r["lang"] for r in got])
 
 
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter, which is what a language can be told of."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([has_letter(x) for x in batch.column(text).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score."""
     made = ["lang_pred", "score"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made or c == text])
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in made or c == text])
     schema = T.StructType([*kept.schema.fields, T.StructField(made[0], T.StringType()),
                            T.StructField(made[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)

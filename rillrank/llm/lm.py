@@ -12,12 +12,14 @@ a filter of pairs that would be larger is not built: pairs then meet their level
 Probabilities. Words that precede (contexts) are classed by their level. Within a class the share of
 pairs seen only once estimates how much probability is left for unseen pairs:
 
-    P(w | v) = (1 - left[class v]) * count(v, w) / mass[class v] + left[class v] * P(w)
+    P(w | v) = (1 - left[class v]) * least(v, w) / most(v) + left[class v] * P(w)
     P(w) = (count(w) + 1) / Z
 
-where counts are read from the filters, `mass` is the mean of what a context of the class holds in
-read-back counts and Z the total of read-back counts, so that words sum to one, and followers do on
-average over a class.
+where counts are read from the filters: `least` is the smallest count of the pair's level and at most
+`most`, the largest of the context's own level. So the followers of a context sum to at most one, each
+probability is at most one, and what rounding leaves over goes to none. Z is the total of read-back counts
+plus one each, so that words sum to one. A level that the filter reads too high (a false positive) can only
+lower what a context gives out, or lift one pair.
 
 Base. The sum of log10((c + 1) / (N + V + 1)) uses exact counts: words with at least N / HEAD
 occurrences (fewer than HEAD of them, 16 bytes each) are broadcast, the others joined by a shuffle.
@@ -55,6 +57,9 @@ START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 #: Smallest count of levels 1, 2, ...; a level is read back as the middle of its range.
 _FIRST = [math.ceil(BASE ** i) for i in range(MAX_LEVEL + 1)]
+LEAST = np.array([0.0, *map(float, _FIRST[:-1])])
+#: An unknown context gives nothing to its followers; the last level is open.
+MOST = np.array([1.0, *(b - 1.0 for b in _FIRST[1:])])
 READ = np.array([0.0, *((a + b - 1) / 2 for a, b in zip(_FIRST, _FIRST[1:], strict=False))])
 
 
@@ -149,14 +154,13 @@ class Model:
     pairs: Filter | None
     total: float  # Z
     left: np.ndarray  # by level of the context
-    mass: np.ndarray
     head_key: np.ndarray
     head_count: np.ndarray
     word_counts: DataFrame = field(repr=False)
     pair_levels: DataFrame = field(repr=False)
 
     def shared(self) -> tuple:
-        return (self.tokens, self.distinct, self.words, self.pairs, self.total, self.left, self.mass,
+        return (self.tokens, self.distinct, self.words, self.pairs, self.total, self.left,
                 self.head_key, self.head_count)
 
 
@@ -219,22 +223,20 @@ def fit(training: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
         level_column(F.col("n")).alias("level"))
     pairs = saved(pairs, "pair-counts")
     classes = pairs.groupBy("context", "level").agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect()
-    left, mass = np.ones(MAX_LEVEL + 1), np.ones(MAX_LEVEL + 1)
-    contexts = by_level | {level_of(docs): by_level.get(level_of(docs), 0) + 1}
+    left = np.ones(MAX_LEVEL + 1)
     entries = 0
     for level in {r["context"] for r in classes}:
         own = [r for r in classes if r["context"] == level]
         entries += sum(r["c"] * r["level"] for r in own)
         once = sum(r["c"] for r in own if r["level"] == 1)
         left[level] = min(0.999, max(0.001, once / sum(r["n"] for r in own)))
-        mass[level] = max(1.0, sum(r["c"] * READ[r["level"]] for r in own) / max(1, contexts.get(level, 0)))
     left[0] = 1.0
     slices, width, fits = filter_shape(entries, max_bytes)
     pair_filter = build_filter(pairs.select("key", "level"), slices, width) if fits else None
     head = counted.where(F.col("n") * HEAD > tokens).select("key", "n").toArrow()
     key, n = head.column("key").to_numpy().view(np.uint64), head.column("n").to_numpy()
     order = np.argsort(key)
-    return Model(tokens, distinct, words, pair_filter, total, left, mass, key[order], n[order],
+    return Model(tokens, distinct, words, pair_filter, total, left, key[order], n[order],
                  counted.select("key", "n"), pairs.select("key", "level"))
 
 
@@ -243,7 +245,7 @@ _SCORED = ("uid bigint, id bigint, n_tokens bigint, head_known bigint, head_base
 
 
 def _score_chunk(first: int, ids: list[int | None], docs: list[np.ndarray], shared: tuple) -> pa.RecordBatch:
-    tokens, distinct, words, pairs, total, left, mass, head_key, head_count = shared
+    tokens, distinct, words, pairs, total, left, head_key, head_count = shared
     lengths = np.array([len(d) for d in docs])
     begins = np.cumsum(lengths) - lengths
     every = np.concatenate(docs)
@@ -259,7 +261,8 @@ def _score_chunk(first: int, ids: list[int | None], docs: list[np.ndarray], shar
     context_level[begins] = start_level
     low = left[context_level] * alone[place]
     if pairs is not None:
-        high = (1 - left[context_level]) * READ[pairs.read(pair)] / mass[context_level]
+        most = MOST[context_level]
+        high = (1 - left[context_level]) * np.minimum(LEAST[pairs.read(pair)], most) / most
         part, opened = np.add.reduceat(np.log10(low + high), begins), [None] * len(docs)
     else:
         part = np.zeros(len(docs))
@@ -306,9 +309,9 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
         F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("tail_known"))
     result = result.join(tail, "uid", "left")
     if model.pairs is None:
-        weights = F.array(*[F.lit(float(1 - x) / float(m)) for x, m in zip(model.left, model.mass, strict=True)])
-        read = F.array(*[F.lit(float(x)) for x in READ])
-        high = F.get(weights, F.col("p.context")) * F.get(read, F.coalesce("level", F.lit(0)))
+        left, most, least = (F.array(*[F.lit(float(x)) for x in xs]) for xs in (model.left, MOST, LEAST))
+        room = F.get(most, F.col("p.context"))
+        high = (1 - F.get(left, F.col("p.context"))) * F.least(F.get(least, F.coalesce("level", F.lit(0))), room) / room
         opened = scored.select("uid", F.explode("open").alias("p")).join(
             model.pair_levels, F.col("p.key") == F.col("key"), "left").groupBy("uid").agg(
             F.sum(F.log10(F.col("p.low") + high)).alias("joined"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillrank.llm.graph import components
-from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
+from rillrank.llm.tables import BROADCAST_KEYS, flagged, fresh, saved
 from rillrank.llm.tasks import map_batches, slices
 from rillrank.llm.words import text_hashes, window_hashes
 
@@ -95,24 +95,29 @@ def _sketches(rows: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 values = shingles(text.as_py())
                 counts.append(len(values))
-                prints.append(xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63))
+                prints.append(_print(values.tobytes()))
                 sketches.append(registers(values).tobytes() if len(values) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()),
-                 pa.array(sketches, pa.binary())], names=["doc", "n", "print", "sketch"])
+                [batch.column("doc"), batch.column("rid"), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()),
+                 pa.array(sketches, pa.binary())], names=["doc", "rid", "n", "print", "sketch"])
 
-    return map_batches(rows, run, "doc bigint, n bigint, print bigint, sketch binary")
+    return map_batches(rows, run, "doc bigint, rid bigint, n bigint, print bigint, sketch binary")
+
+
+def _print(values: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(values) - (1 << 63)
 
 
 def _sets(rows: DataFrame) -> DataFrame:
+    """(doc, set, bytes), where doc is the set's print: one row per set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles(x.as_py()).tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sets, pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
-                names=["doc", "set", "bytes"])
+                [pa.array([_print(s) for s in sets], pa.int64()), pa.array(sets, pa.binary()),
+                 pa.array([len(s) for s in sets], pa.int64())], names=["doc", "set", "bytes"])
 
-    return map_batches(rows.select("doc", "text"), run, "doc bigint, set binary, bytes bigint")
+    return map_batches(rows.select("text"), run, "doc bigint, set binary, bytes bigint").dropDuplicates(["doc"])
 
 
 def candidates(classes: DataFrame) -> DataFrame:
@@ -196,33 +201,60 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """Per row of `docs` its id, n_shingles, component_id (smallest id reachable by links) and kept (its own)."""
     if not 80 <= percent <= 100:
         raise ValueError("the bands are set for similarities of 0.8 and above")
-    rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc"), F.col(f"`{text}`").alias("text"))
+    return _judged(docs, id_column, text, percent, broadcast_keys).select(
+        F.col("doc").alias(id_column), "n_shingles", "component_id", "kept")
+
+
+def _rid(id_column: str, text: str):
+    """A row's own key: ids may repeat."""
+    return F.xxhash64(F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text}`"))
+
+
+def _judged(docs: DataFrame, id_column: str, text: str, percent: int, broadcast_keys: int) -> DataFrame:
+    """doc, rid, n_shingles, component_id and kept of each row. Classes of equal sets are the nodes of all graphs, by
+    the set's print, so rows that share an id do not share links."""
+    rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc"), _rid(id_column, text).alias("rid"),
+                       F.col(f"`{text}`").alias("text"))
     sketches = saved(_sketches(rows), "sketches")
     linkable = sketches.where(F.col("doc").isNotNull() & (F.col("n") > 0))
-    classes = saved(linkable.groupBy("print", "n").agg(F.min(F.struct("doc", "sketch")).alias("first"),
+    classes = saved(linkable.groupBy("print", "n").agg(F.min(F.struct("doc", "rid", "sketch")).alias("first"),
                                                        F.max("doc").alias("last"))
-                    .select("print", "n", "first.doc", "first.sketch", "last"), "classes")
-    clusters = saved(components(candidates(classes), "doc", "hub").withColumnRenamed("node", "doc"), "clusters")
-    chosen = flagged(rows, clusters.select("doc"), "doc", "wanted", broadcast_keys).where("wanted")
+                    .select("print", "n", "first.doc", "first.rid", "first.sketch", "last"), "classes")
+    clusters = saved(components(candidates(classes.select(F.col("print").alias("doc"), "sketch")), "doc", "hub")
+                     .withColumnRenamed("node", "doc"), "clusters")
+    # The text of each class's first row.
+    firsts = classes.join(clusters.select(F.col("doc").alias("print")), "print", "left_semi").select("rid").distinct()
+    chosen = flagged(rows, saved(firsts, "firsts"), "rid", "wanted", broadcast_keys).where("wanted")
     sets = saved(_sets(chosen), "sets")
     links = saved(verified_links(clusters, sets, percent), "links")
-    roots = components(links).withColumnRenamed("node", "doc")
-    labels = classes.select("print", "n", "doc", "last").join(roots, "doc", "left").select(
-        F.col("print").alias("_print"), F.col("n").alias("_n"), F.coalesce("root", "doc").alias("root"),
-        (F.col("root").isNotNull() | (F.col("last") > F.col("doc"))).alias("_grouped"))
+    joined = components(links).withColumnRenamed("node", "print")
+    ids = joined.join(classes.select("print", "doc"), "print")
+    least = ids.groupBy("root").agg(F.min("doc").alias("least"))
+    roots = joined.join(least, "root").select("print", "least")
+    labels = classes.select("print", "n", "doc", "last").join(roots, "print", "left").select(
+        F.col("print").alias("_print"), F.col("n").alias("_n"), F.coalesce("least", "doc").alias("root"),
+        (F.col("least").isNotNull() | (F.col("last") > F.col("doc"))).alias("_grouped"))
     labels = saved(labels.where("_grouped").drop("_grouped"), "labels")
     out = sketches.join(labels, (F.col("print") == F.col("_print")) & (F.col("n") == F.col("_n")), "left")
     component = F.when(F.col("n") > 0, F.coalesce("root", "doc")).otherwise(F.col("doc"))
     component = F.when(F.col("doc").isNotNull(), component)
-    return out.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc", "rid", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 85,
                broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-    """`docs` without those that have a component's smaller id; columns as given."""
-    dropped = saved(near_duplicates(docs, id_column, text, percent, broadcast_keys).where(~F.col("kept"))
-                    .select(F.col(id_column).alias("_dropped")).distinct(), "dropped")
-    marked = docs.withColumn("_id", F.col(f"`{id_column}`").cast("bigint"))
-    return flagged(marked, dropped.withColumnRenamed("_dropped", "_id"), "_id", "_gone", broadcast_keys).where(
-        ~F.col("_gone")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """`docs` without rows that have a component's smaller id; of rows of equal id and text one stays. Rows without
+    an id stay. Columns as given."""
+    if not 80 <= percent <= 100:
+        raise ValueError("the bands are set for similarities of 0.8 and above")
+    judged = saved(_judged(docs, id_column, text, percent, broadcast_keys).where("doc IS NOT NULL"), "judged")
+    row, gone, twice = fresh(docs.columns, "rid", "gone", "twice")
+    dropped = judged.where(~F.col("kept")).select(F.col("rid").alias(row)).distinct()
+    repeated = judged.where("kept").groupBy(F.col("rid").alias(row)).count().where("count > 1").select(row)
+    keyed = docs.withColumn(row, F.when(F.col(f"`{id_column}`").isNotNull(), _rid(id_column, text)))
+    left = flagged(keyed, dropped, row, gone, broadcast_keys).where(~F.col(gone))
+    marked = flagged(left, repeated, row, twice, broadcast_keys)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one_each = marked.where(F.col(twice)).dropDuplicates([row])
+    return marked.where(~F.col(twice)).select(*columns).union(one_each.select(*columns))

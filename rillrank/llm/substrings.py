@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillrank.llm.tables import BROADCAST_KEYS, flagged, saved
+from rillrank.llm.tables import BROADCAST_KEYS, flagged, fresh, saved
 from rillrank.llm.tasks import map_batches, slices
 from rillrank.llm.words import covered, text_hashes, window_hashes, words
 
@@ -207,14 +207,14 @@ def _rid(id_column: str, text: str):
     return F.xxhash64(F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text}`"))
 
 
-def _cut(rows: DataFrame, text: str, names: list[str]) -> DataFrame:
+def _cut(rows: DataFrame, text: str, names: list[str], listed: str) -> DataFrame:
     fields = [f for f in rows.schema.fields if f.name in names]
     schema = T.StructType([*fields, T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("removed", _SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            spans_of = batch.column("_spans").to_pylist()
+            spans_of = batch.column(listed).to_pylist()
             kept, total, gone, removed = [], [], [], []
             for value, spans in zip(batch.column(text).to_pylist(), spans_of, strict=True):
                 parts = words(value)
@@ -233,18 +233,20 @@ def _cut(rows: DataFrame, text: str, names: list[str]) -> DataFrame:
                 pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
                 names=[*names, *RESULT])
 
-    return map_batches(rows.select(*[F.col(f"`{c}`") for c in names], "_spans"), run, schema)
+    return map_batches(rows, run, schema)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
                    broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """`docs` with kept_text (kept words joined by one space), n_words, n_removed and removed (spans of words)."""
-    names = [c for c in docs.columns if c not in RESULT or c in (id_column, text)]
+    results = {c.lower() for c in RESULT}
+    names = [c for c in docs.columns if c.lower() not in results or c in (id_column, text)]
     spans = repeats(docs, id_column, text, min_words, broadcast_keys)
+    row, cut, listed = fresh(docs.columns, "rid", "cut", "spans")
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.when(
-        F.col(f"`{id_column}`").isNotNull(), _rid(id_column, text)).alias("_rid"))
-    split = flagged(rows, spans.select(F.col("rid").alias("_rid")), "_rid", "_cut", broadcast_keys)
-    whole = split.where(~F.col("_cut")).withColumn("_spans", F.lit(None).cast(_SPANS))
-    parts = split.where("_cut").join(spans.select(F.col("rid").alias("_rid"), F.col("spans").alias("_spans")), "_rid")
-    both = whole.select(*names, "_spans").unionByName(parts.select(*names, "_spans"))
-    return _cut(both, text, names)
+        F.col(f"`{id_column}`").isNotNull(), _rid(id_column, text)).alias(row))
+    split = flagged(rows, spans.select(F.col("rid").alias(row)), row, cut, broadcast_keys)
+    whole = split.where(~F.col(cut)).withColumn(listed, F.lit(None).cast(_SPANS))
+    parts = split.where(F.col(cut)).join(spans.select(F.col("rid").alias(row), F.col("spans").alias(listed)), row)
+    columns = [*[F.col(f"`{c}`") for c in names], F.col(listed)]
+    return _cut(whole.select(*columns).unionByName(parts.select(*columns)), text, names, listed)

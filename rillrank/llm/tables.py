@@ -18,13 +18,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names with as many underscores in front as make them clash with no column, in any case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def flagged(df: DataFrame, keys: DataFrame, key: str, flag: str, bound: int = BROADCAST_KEYS) -> DataFrame:
     """`df` with a BOOLEAN `flag`: whether its `key` is among `keys` (one column `key`, no repeats).
 
     The keys are counted first. Up to `bound` they are broadcast and `df` stays where it is.
     """
-    named = keys.select(F.col(key).alias("_key"), F.lit(True).alias("_in"))
+    same, there = fresh([*df.columns, flag], "key", "in")
+    named = keys.select(F.col(key).alias(same), F.lit(True).alias(there))
     if keys.count() <= bound:
         named = F.broadcast(named)
-    joined = df.join(named, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(flag, F.col("_in").isNotNull()).drop("_key", "_in")
+    joined = df.join(named, F.col(key) == F.col(same), "left")
+    return joined.withColumn(flag, F.col(there).isNotNull()).drop(same, there)

@@ -20,6 +20,7 @@ Other input columns are ignored.
 from __future__ import annotations
 
 import struct
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,11 +117,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(block_ids, plane_bits)
-        for batch in slices(batches):
-            encoded = encoder(tokenizer, end_id).encode(x.as_py() for x in batch.column("text"))
-            for doc, ids in zip(batch.column("id").to_pylist(), encoded, strict=True):
-                for row in blocks.add(doc, ids):
-                    yield pa.RecordBatch.from_pylist([row], schema=schema)
+        waiting: deque[int | None] = deque()
+
+        def texts() -> Iterator[str | None]:
+            for batch in slices(batches):
+                for doc, value in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+                    waiting.append(doc)
+                    yield value.as_py()
+
+        # The encoder groups texts by their size, over batches.
+        for ids in encoder(tokenizer, end_id).encode(texts()):
+            for row in blocks.add(waiting.popleft(), ids):
+                yield pa.RecordBatch.from_pylist([row], schema=schema)
         if blocks.n:
             yield pa.RecordBatch.from_pylist([blocks.close()], schema=schema)
 
@@ -184,12 +192,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         F.min("start").alias("start"), F.sum("length").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("start", "length", "crc"))).alias("pieces"))
 
-    @F.udf("bigint")
-    def joined(pieces: list) -> int:
-        crc = pieces[0]["crc"]
-        for x in pieces[1:]:
-            crc = crc32_joined(crc, x["crc"], 4 * x["length"])
-        return crc
-
-    crc = F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(joined("pieces"))
-    return whole.select("id", "start", "n_tokens", crc.alias("ids_crc32"))
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            pieces = batch.column("pieces")
+            crc = pieces.flatten().field("crc").to_numpy()
+            length = pieces.flatten().field("length").to_numpy()
+            counts = pieces.value_lengths().to_numpy()
+            begins = np.cumsum(counts) - counts
+            out = crc[begins]
+            for row in np.flatnonzero(counts > 1).tolist():  # documents that span blocks
+                whole = int(out[row])
+                for i in range(begins[row] + 1, begins[row] + counts[row]):
+                    whole = crc32_joined(whole, int(crc[i]), 4 * int(length[i]))
+                out[row] = whole
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("start"), batch.column("n_tokens"),
+                                              pa.array(out)], names=["id", "start", "n_tokens", "ids_crc32"])
+
+    return map_batches(whole.select("id", "start", "n_tokens", "pieces"), join,
+                       "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint", rows=4096)

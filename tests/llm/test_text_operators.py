@@ -176,7 +176,8 @@ def test_near_duplicates_of_odd_rows(spark):
     got = near_dup.near_duplicates(docs).collect()
     assert len(got) == len(ODD) and [r.component_id for r in got if r.doc_id is None] == [None]
     assert all(r.kept for r in got)
-    assert sorted(map(str, near_dup.keep_first(docs).collect())) == sorted(map(str, docs.collect()))
+    # Of rows of equal id and text one stays.
+    assert sorted(map(str, near_dup.keep_first(docs).collect())) == sorted(map(str, docs.distinct().collect()))
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
 
 
