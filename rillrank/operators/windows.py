@@ -75,19 +75,29 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, measures: Measures,
             keys: list[str] | None = None, panes_from: int = 8) -> DataFrame:
     """Overlapping windows.
 
-    Each row belongs to size/slide windows. From ``panes_from`` windows per row on, a batch
-    DataFrame is first reduced to one row per slide and key, so that the copies are made
-    of reduced rows and not of the input.
+    Each row belongs to size/slide windows. From ``panes_from`` windows per row on, rows are
+    first reduced to one per slide and key, so that the copies are made of reduced rows and not of the
+    input. A stream does this in two chained aggregates: a pane is out once the watermark has passed it.
     """
-    overlap = 1.0 if df.isStreaming else _micros(df.sparkSession, size) / _micros(df.sparkSession, slide)
-    if overlap < panes_from or not overlap.is_integer():
+    if not in_panes(df.sparkSession, size, slide, panes_from):
         return plain_window(aggregate_window(df, ts, size, measures, keys, slide))
     keys = keys or []
-    panes = aggregate_window(df, ts, slide, measures, keys).withColumn("_pane", F.col("window.start")).drop("window")
+    panes = aggregate_window(df, ts, slide, measures, keys)
+    if df.isStreaming:
+        # The time of a pane is its last microsecond, which lies in the windows that hold the pane.
+        window = F.window(F.window_time("window"), size, slide).alias("window")
+        return plain_window(panes.groupBy(window, *keys).agg(*_again(measures)))
+    panes = panes.withColumn("_pane", F.col("window.start")).drop("window")
     window = F.window("_pane", size, slide).alias("window")
     return plain_window(panes.groupBy(window, *keys).agg(*_again(measures)))
 
 
+def in_panes(spark: SparkSession, size: str, slide: str, panes_from: int = 8) -> bool:
+    """Whether sliding windows are computed from panes: each row in many windows, which are whole panes."""
+    overlap = _micros(spark, size) / _micros(spark, slide)
+    return overlap >= panes_from and overlap.is_integer()
+
+
 def _micros(spark: SparkSession, duration: str) -> int:
     """Microseconds of any duration that a window accepts, as Spark reads it."""
     epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"

@@ -271,6 +271,12 @@ SQL: dict[str, str] = {
     "stream_top_hosts_by_timer": "WITH " + _ranked("session_num", SESSIONS, closed=True) + " SELECT * FROM ranked",
     "stream_top_hosts_report": _report("packets", PACKETS, "''", closed=True),
     "stream_word_top_n": _word_top_n(CLOSED),
+    "stream_sliding_long": "WITH " + NUMBERS + f"""
+        SELECT * FROM (
+          SELECT time_bucket(INTERVAL '1 hour', arrival_ts) + (o.off - 12) * INTERVAL '1 hour' AS window_start,
+                 time_bucket(INTERVAL '1 hour', arrival_ts) + o.off * INTERVAL '1 hour' AS window_end,
+                 event_type, count(*) AS cnt, CAST(sum(k) AS BIGINT) AS total, max(k) AS largest
+          FROM numbers CROSS JOIN range(1, 13) o(off) GROUP BY ALL) {CLOSED}""",
     "stream_json_window_count": "WITH " + NUMBERS + f"""
         SELECT * FROM (
           SELECT time_bucket(INTERVAL '1 hour', arrival_ts) AS window_start,

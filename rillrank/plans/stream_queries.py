@@ -103,6 +103,14 @@ def stream_word_top_n(events, out, checkpoint, _):
     return started, lambda written: _wall_clock(jobs.bucket_top_n(written))
 
 
+@by_time
+def stream_sliding_long(events, out, checkpoint, _):
+    """Twelve windows per row: panes of an hour first, then windows of panes."""
+    numbers = inputs.as_numbers(events)
+    measures = {"cnt": ("count", "1"), "total": ("sum", "k"), "largest": ("max", "k")}
+    return jobs.stream_sliding(numbers, out, checkpoint, "12 hours", "1 hour", measures, ["event_type"], every=None), _wall_clock
+
+
 @by_time
 def stream_json_window_count(events, out, checkpoint, _):
     numbers = inputs.as_numbers(events)

@@ -5,6 +5,8 @@ Each ``stream_*`` function starts a query that writes per-batch files under ``pa
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -76,7 +78,9 @@ def stream_word_top_n(lines: DataFrame, path: str, checkpoint: str, size: str =
         return jobs.rank_words(jobs.with_bucket(batch, bucket), ["bucket_end", "source_window_end"], n)
 
     counts = jobs.word_windows(lines.withWatermark(ts, delay), size, slide, ts)
-    with sinks.single_operator(lines.sparkSession):
+    # Panes and windows are two stateful operators.
+    two = windows.in_panes(lines.sparkSession, size, slide)
+    with nullcontext() if two else sinks.single_operator(lines.sparkSession):
         return sinks.start(counts, sinks.to_files(path, shape, show), checkpoint, every=every)
 
 
@@ -84,6 +88,14 @@ def bucket_top_n(candidates: DataFrame, n: int = fixed.TOP_N) -> DataFrame:
     return jobs.rank_words(candidates.drop("rank", sinks.BATCH), ["bucket_end"], n)
 
 
+def stream_sliding(df: DataFrame, path: str, checkpoint: str, size: str, slide: str, measures: windows.Measures,
+                   keys: list[str], delay: str = fixed.WATERMARK_DELAY, ts: str = "arrival_ts",
+                   every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:
+    """Sliding aggregates; with many windows per row, from panes."""
+    found = windows.sliding(df.withWatermark(ts, delay), ts, size, slide, measures, keys)
+    return sinks.start(found, sinks.to_files(path), checkpoint, every=every)
+
+
 def stream_json_window_count(students: DataFrame, path: str, checkpoint: str, size: str = fixed.JSON_WINDOW,
                              delay: str = fixed.WATERMARK_DELAY, ts: str = "arrival_ts", key: str = "name",
                              every: str | None = fixed.CHECKPOINT_INTERVAL) -> StreamingQuery:

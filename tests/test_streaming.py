@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
@@ -283,3 +284,26 @@ def test_carried_total_of_an_int_column_passes_its_range(feed):
     got = f.written().orderBy("seq")
     assert dict(got.dtypes)["value"] == "int"
     assert [r.total for r in got.collect()] == [2_000_000_000, 4_000_000_000, 6_000_000_000]
+
+
+def test_streamed_panes_equal_plain_windows(feed):
+    """Three-second panes under 30-second windows, over several triggers; no copies are made before the first sum."""
+    f = feed("ts timestamp, k string, v bigint")
+    rnd = random.Random(11)
+    at = 0
+    for _ in range(5):
+        rows = []
+        for _ in range(40):
+            at += rnd.choice([0, 1, 1, 2, 7])
+            rows.append((datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=at), rnd.choice("ab"), rnd.randrange(9)))
+        f.add(*rows)
+    measures = {"n": ("count", "1"), "total": ("sum", "v"), "most": ("max", "v")}
+    query = finish(jobs.stream_sliding(f.stream(), f.out, f.checkpoint, "30 seconds", "3 seconds", measures, ["k"], ts="ts", every=None))
+    batch = windows.sliding(f.all(), "ts", "30 seconds", "3 seconds", measures, ["k"], panes_from=99)
+    last = datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=at - 5)
+    want = {tuple(r) for r in batch.collect() if r.window_end <= last}
+    assert {tuple(r) for r in f.written().drop(sinks.BATCH).collect()} == want
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 5
+    plan = windows.sliding(f.stream().withWatermark("ts", "5 seconds"), "ts", "30 seconds", "3 seconds", measures, ["k"])
+    logical = plan._jdf.queryExecution().analyzed().toString()
+    assert logical.index("Aggregate") < logical.index("Expand") < logical.rindex("Aggregate")
