@@ -108,16 +108,25 @@ def _print(values: bytes) -> int:
     return xxhash.xxh3_64_intdigest(values) - (1 << 63)
 
 
+#: A class of equal sets: the smallest id that has it, and the set's print, which tells rows of one id apart.
+NODE = "struct<doc:bigint,print:bigint>"
+_NODE = pa.struct([("doc", pa.int64()), ("print", pa.int64())])
+
+
+def _nodes(docs: list[int], prints: list[int]) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.int64())], fields=list(_NODE))
+
+
 def _sets(rows: DataFrame) -> DataFrame:
-    """(doc, set, bytes), where doc is the set's print: one row per set."""
+    """(doc, set, bytes), where doc is the node of the row's set: one row per node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles(x.as_py()).tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_print(s) for s in sets], pa.int64()), pa.array(sets, pa.binary()),
+                [_nodes(batch.column("doc").to_pylist(), [_print(s) for s in sets]), pa.array(sets, pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64())], names=["doc", "set", "bytes"])
 
-    return map_batches(rows.select("text"), run, "doc bigint, set binary, bytes bigint").dropDuplicates(["doc"])
+    return map_batches(rows.select("doc", "text"), run, f"doc {NODE}, set binary, bytes bigint").dropDuplicates(["doc"])
 
 
 def candidates(classes: DataFrame) -> DataFrame:
@@ -144,7 +153,7 @@ class _Joined:
         return i
 
 
-def block_links(docs: list[int], blocks: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def block_links(docs: list[tuple], blocks: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple]:
     """Links that join the documents of one block, or of two blocks, as far as links between them do."""
     sizes = np.array([len(s) for s in sets], float)
     sketch = np.stack([registers(s) for s in sets])
@@ -184,16 +193,16 @@ def verified_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "doc", "block")
 
     def link(table: pa.Table) -> pa.Table:
-        docs = table.column("doc").to_pylist()
+        docs = [(x["doc"], x["print"]) for x in table.column("doc").to_pylist()]
         sets = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
-        order = np.argsort(docs, kind="stable")
+        order = sorted(range(len(docs)), key=docs.__getitem__)
         found = block_links([docs[i] for i in order], table.column("block").to_numpy()[order],
                             [sets[i] for i in order], percent) if len(docs) > 1 else []
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
-                         "b": pa.array([b for _, b in found], pa.int64())})
+        return pa.table({"a": _nodes([a[0] for a, _ in found], [a[1] for a, _ in found]),
+                         "b": _nodes([b[0] for _, b in found], [b[1] for _, b in found])})
 
     held = paired.join(sets.select("doc", "set"), "doc")
-    return held.groupBy("root", "x", "y").applyInArrow(link, "a bigint, b bigint")
+    return held.groupBy("root", "x", "y").applyInArrow(link, f"a {NODE}, b {NODE}")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 85,
@@ -217,23 +226,17 @@ def _judged(docs: DataFrame, id_column: str, text: str, percent: int, broadcast_
                        F.col(f"`{text}`").alias("text"))
     sketches = saved(_sketches(rows), "sketches")
     linkable = sketches.where(F.col("doc").isNotNull() & (F.col("n") > 0))
-    classes = saved(linkable.groupBy("print", "n").agg(F.min(F.struct("doc", "rid", "sketch")).alias("first"),
-                                                       F.max("doc").alias("last"))
-                    .select("print", "n", "first.doc", "first.rid", "first.sketch", "last"), "classes")
-    clusters = saved(components(candidates(classes.select(F.col("print").alias("doc"), "sketch")), "doc", "hub")
-                     .withColumnRenamed("node", "doc"), "clusters")
-    # The text of each class's first row.
-    firsts = classes.join(clusters.select(F.col("doc").alias("print")), "print", "left_semi").select("rid").distinct()
-    chosen = flagged(rows, saved(firsts, "firsts"), "rid", "wanted", broadcast_keys).where("wanted")
+    classes = linkable.groupBy("print", "n").agg(F.min(F.struct("doc", "sketch")).alias("first"), F.max("doc").alias("last"))
+    classes = saved(classes.select(F.struct("first.doc", "print").alias("doc"), "n", "first.sketch", "last"), "classes")
+    clusters = saved(components(candidates(classes), "doc", "hub").withColumnRenamed("node", "doc"), "clusters")
+    chosen = flagged(rows, clusters.select("doc.doc").distinct(), "doc", "wanted", broadcast_keys).where("wanted")
     sets = saved(_sets(chosen), "sets")
     links = saved(verified_links(clusters, sets, percent), "links")
-    joined = components(links).withColumnRenamed("node", "print")
-    ids = joined.join(classes.select("print", "doc"), "print")
-    least = ids.groupBy("root").agg(F.min("doc").alias("least"))
-    roots = joined.join(least, "root").select("print", "least")
-    labels = classes.select("print", "n", "doc", "last").join(roots, "print", "left").select(
-        F.col("print").alias("_print"), F.col("n").alias("_n"), F.coalesce("least", "doc").alias("root"),
-        (F.col("least").isNotNull() | (F.col("last") > F.col("doc"))).alias("_grouped"))
+    roots = components(links).withColumnRenamed("node", "doc")
+    # The least node of a component has its least id.
+    labels = classes.select("n", "doc", "last").join(roots, "doc", "left").select(
+        F.col("doc.print").alias("_print"), F.col("n").alias("_n"), F.coalesce("root", "doc")["doc"].alias("root"),
+        (F.col("root").isNotNull() | (F.col("last") > F.col("doc.doc"))).alias("_grouped"))
     labels = saved(labels.where("_grouped").drop("_grouped"), "labels")
     out = sketches.join(labels, (F.col("print") == F.col("_print")) & (F.col("n") == F.col("_n")), "left")
     component = F.when(F.col("n") > 0, F.coalesce("root", "doc")).otherwise(F.col("doc"))
