@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 ROWS = 256
+#: A batch on its way to a worker is closed at this size, however few rows it has: some texts are megabytes long.
+BATCH_BYTES = 8 << 20
 
 _clear: list[Callable[[], None]] = []
 _stage: int | None = None
@@ -40,4 +42,5 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     """mapInArrow that gets `rows` rows at a time: Spark's default of 10,000 whole texts is held by the JVM, outside
     its heap, and by the worker at once. The setting is the session's, and holds for what runs until the next call."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
