@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,6 +25,13 @@ def on_new_stage(clear: Callable[[], None]) -> None:
     _clear.append(clear)
 
 
+def _give_back() -> None:
+    """What the stage before has freed goes back to the system; the allocator would keep it for this process."""
+    gc.collect()
+    with suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most `rows` rows, so that only a piece is held as Python objects."""
     global _stage
@@ -30,6 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
         _stage = context.stageId()
         for clear in _clear:
             clear()
+        _give_back()
     for batch in batches:
         for at in range(0, len(batch), rows):
             yield batch.slice(at, rows)
