@@ -21,6 +21,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillrank.llm.tables import fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_PER_KEY = 16
 MAX_BLOCKS = 1 << 18
@@ -98,19 +100,22 @@ def listed_flag(pages: DataFrame, listed: DataFrame, key: str, max_blocks: int =
 
     Null keys are not listed.
     """
-    names = [c for c in pages.columns if c != "listed"]
+    names = [c for c in pages.columns if c.lower() != "listed"]
+    hashed, same, there = fresh(pages.columns, "h", "key", "found")
     wanted = listed.select(key).where(F.col(key).isNotNull()).distinct()
     blocks = min(max_blocks, max(1, wanted.count() * BITS_PER_KEY // 64))
     bits = bloom_filter(wanted, key, blocks)
-    probed = pages.select(*names).withColumn("_h", _hash(F.col(key))).join(
-        F.broadcast(bits), _block(F.col("_h"), blocks) == F.col("_block"), "left")
-    passes = F.col(key).isNotNull() & (F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(_mask(F.col("_h")))
-                                       == _mask(F.col("_h")))
+    block, mask = fresh(pages.columns, "block", "bits")
+    bits = bits.select(F.col("_block").alias(block), F.col("_bits").alias(mask))
     out = [F.col(f"`{c}`") for c in names]
+    probed = pages.select(*out).withColumn(hashed, _hash(F.col(key))).join(
+        F.broadcast(bits), _block(F.col(hashed), blocks) == F.col(block), "left")
+    passes = F.col(key).isNotNull() & (F.coalesce(F.col(mask), F.lit(0)).bitwiseAND(_mask(F.col(hashed)))
+                                       == _mask(F.col(hashed)))
     missed = probed.where(~passes).select(*out, F.lit(False).alias("listed"))
-    exact = wanted.withColumnRenamed(key, "_key").withColumn("_found", F.lit(True))
-    hits = probed.where(passes).select(*out).join(exact, F.col(key) == F.col("_key"), "left")
-    return missed.unionByName(hits.select(*out, F.col("_found").isNotNull().alias("listed")))
+    exact = wanted.select(F.col(key).alias(same), F.lit(True).alias(there))
+    hits = probed.where(passes).select(*out).join(exact, F.col(key) == F.col(same), "left")
+    return missed.unionByName(hits.select(*out, F.col(there).isNotNull().alias("listed")))
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, url: str = "url",
@@ -120,7 +125,7 @@ def url_verdicts(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, url
     `listed` has one column `canonical`.
     """
     made = ("host", "path", "canonical", "rule", "verdict", "listed")
-    names = [c for c in pages.columns if c not in made or c == url]
+    names = [c for c in pages.columns if c.lower() not in made or c == url]
     cut = pages.select(*[F.col(f"`{c}`") for c in names], host(F.col(url)).alias("host"),
                        path(F.col(url)).alias("path"))
     cut = cut.withColumn("canonical", canonical(F.col("host"), F.col("path")))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from rillrank.llm import decontaminate, language, lm, near_dup, substrings, words
+from rillrank.llm import decontaminate, language, lm, near_dup, substrings, urls, words
 from tests.llm.test_text_operators import brute_components
 from tests.llm.texts import frame
 
@@ -109,3 +109,11 @@ def test_followers_of_a_context_sum_to_at_most_one(spark):
         alone = (lm.READ[model.words.read(after)] + 1) / model.total
         # A level read too high by the filter may lift a pair: a few in a hundred, by a factor of 1.6.
         assert (known + model.left[level] * alone).sum() <= 1.02
+
+
+def test_url_verdicts_keep_columns_with_the_names_they_use_themselves(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", 7, "b", "k"), (2, "http://c.net/y", 8, "b", "k")],
+                                  "page_id bigint, url string, _H int, _block string, _KEY string")
+    listed = spark.createDataFrame([("a.net/x",)], "canonical string")
+    got = urls.url_verdicts(pages, (), listed).collect()
+    assert sorted((r.page_id, r.verdict, r._H, r._block, r._KEY) for r in got) == [(1, "block", 7, "b", "k"), (2, "allow", 8, "b", "k")]
