@@ -4,13 +4,16 @@ The byte-level tokenizers used here cut a text at white space before they look f
 is encoded piece by piece: a piece is a run of ASCII spaces with the word that follows, or the word
 alone where the tokenizer drops spaces and case. Frequent pieces come from a bounded memo of the
 task's process. New pieces are joined, encoded together, and told apart by the bytes their tokens
-stand for. Texts holding other white space or the text of a special token are encoded whole.
+stand for. Words of ASCII letters need neither the tokenizer's normalising nor its pattern: they go to
+its merges directly, and a punctuation mark after such a word has ids of its own. Texts holding other
+white space or the text of a special token are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -19,7 +22,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-from tokenizers import Tokenizer  # noqa: E402
+from tokenizers import Tokenizer, pre_tokenizers  # noqa: E402
+from tokenizers.normalizers import Sequence as Normalizers  # noqa: E402
 
 from rillrank.llm.tasks import on_new_stage  # noqa: E402
 
@@ -27,6 +31,8 @@ MAX_PIECES = 3 << 18
 GROUP_CHARS = 1 << 20
 JOINED = 256
 WORD_END = "</w>"
+#: Marks that every tokenizer here parts from the letters before them.
+MARKS = b",.;:!?"
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Where one of these stands beside another space or at an end, pieces are found by pattern.
@@ -48,8 +54,23 @@ class Encoder:
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for token, i in names.items():
             self.bytes_of[i] = len(token.removesuffix(WORD_END) if self.word_ends else token)
+        self.space = b" " if self.word_ends else b""
+        self.letters = self._for_letters(path)
+        self.marks = {m: self._whole(chr(m)) for m in MARKS}
         self.known: dict[bytes, bytes] = {}
 
+    def _for_letters(self, path: str) -> Tokenizer:
+        """The tokenizer's merges for words of ASCII letters, which its pattern leaves whole."""
+        out = Tokenizer.from_file(path)
+        if self.word_ends:
+            out.normalizer = Normalizers([])
+            out.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        else:
+            out.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+                pre_tokenizers.Split("\u0120", "merged_with_next")])
+        return out
+
     def _cut(self, text: str | None) -> list[bytes] | None:
         """Pieces of a text; None if it must be encoded whole."""
         if not text:
@@ -66,24 +87,47 @@ class Encoder:
 
     def _joins(self, piece: bytes) -> bool:
         """Whether a piece keeps its tokens, and they its bytes, between others like it."""
-        return piece.isascii() if self.word_ends else piece[0] in b" \t\n\x0b\x0c\r" and piece[-1] not in b" \t\n\x0b\x0c\r"
+        if not self.word_ends:
+            return piece[0] in b" \t\n\x0b\x0c\r" and piece[-1] not in b" \t\n\x0b\x0c\r"
+        if piece.isascii():
+            return True
+        text = piece.decode()
+        return text == text.lower() and unicodedata.is_normalized("NFC", text)
+
+    def _is_word(self, piece: bytes) -> bool:
+        return piece.isalpha() if self.word_ends else piece[0] == 0x20 and piece[1:].isalpha()
 
     def _learn(self, pieces: list[bytes]) -> None:
-        joined = [p for p in pieces if self._joins(p)]
-        alone = [p for p in pieces if not self._joins(p)]
-        blocks = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
-        space = b" " if self.word_ends else b""
-        got = self.tokenizer.encode_batch_fast([space.join(b).decode() for b in blocks], add_special_tokens=False)
+        words, marked, joined, alone = [], [], [], []
+        for p in pieces:
+            if self._is_word(p):
+                words.append(p)
+            elif p[-1] in MARKS and len(p) > 1 and self._is_word(p[:-1]):
+                marked.append(p)
+            elif self._joins(p):
+                joined.append(p)
+            else:
+                alone.append(p)
+        known = self.known
+        known.update(self._joined(self.letters, words))
+        before = {p[:-1] for p in marked}
+        unmarked = dict(self._joined(self.letters, list(before.difference(known))))
+        for p in marked:
+            core = p[:-1]
+            known[p] = (unmarked.get(core) or known[core]) + self.marks[p[-1]]
+        known.update(self._joined(self.tokenizer, joined))
+        got = self.tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)
+        known.update(zip(alone, (np.array(x.ids, "<u4").tobytes() for x in got), strict=True))
+
+    def _joined(self, tokenizer: Tokenizer, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Pieces and their ids, encoded in blocks; the bytes of the tokens tell where a piece ends."""
+        blocks = [pieces[i:i + JOINED] for i in range(0, len(pieces), JOINED)]
+        got = tokenizer.encode_batch_fast([self.space.join(b).decode() for b in blocks], add_special_tokens=False)
         for block, x in zip(blocks, got, strict=True):
             ids = np.array(x.ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p) for p in block])) + 1
-            raw, begin = ids.tobytes(), 0
-            for piece, end in zip(block, (4 * ends).tolist(), strict=True):
-                self.known[piece] = raw[begin:end]
-                begin = end
-        got = self.tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)
-        for piece, x in zip(alone, got, strict=True):
-            self.known[piece] = np.array(x.ids, "<u4").tobytes()
+            lengths = np.fromiter(map(len, block), np.int64, len(block))
+            ends = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths)) + 1)).tolist()
+            yield from zip(block, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -104,7 +148,8 @@ class Encoder:
         cut = [self._cut(x) for x in texts]
         if len(self.known) > MAX_PIECES:
             self.known.clear()
-        self._learn(list(set().union(*filter(None, cut)).difference(self.known)))
+        used = set().union(*filter(None, cut))
+        self._learn(list(used.difference(self.known)))
         known = self.known.__getitem__
         for text, pieces in zip(texts, cut, strict=True):
             raw = self._whole(text) if pieces is None else b"".join(map(known, pieces))
