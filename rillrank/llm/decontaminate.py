@@ -1,18 +1,21 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are taken in blocks of BLOCK_ITEMS, and of about BLOCK_CHARS, whose words, vectors and
-projections are broadcast. A block is cut into groups of at most RANK items, so that the directions of a
-group span it whole and no item is lost in a projection. For each block:
+projections are broadcast. Items longer than a passage are cut into parts of PASSAGE words, so that a long item
+is found like a short one. A block's parts are dealt into groups of at most RANK, so that the directions of a
+group span it whole and no part is lost in a projection. For each block:
 
 1. Passages. Documents are cut to passages of PASSAGE words, one every STEP words. In how many passages
-   each word of the block occurs is counted over all documents and gives the weights (idf).
+   each word of the block occurs is counted over all documents and gives the weights (idf). Words that no item
+   has weigh as much as the median word of the block, so weights do not depend on the size of the corpus.
 2. Latent space. A randomised SVD of each group's TF-IDF matrix, computed on the executors: the matrix is
    sketched with random vectors (item by item), the sketch's orthonormal base is multiplied back (word
    by word), and a small eigenproblem on the driver turns the result into at most RANK directions.
-3. Candidates. Every passage of every document is projected. Its cosine to each item is measured
-   against the passage's whole length, so words that no item has count against it. Passages whose
-   share of item words, or whose projection, is too small for the threshold are skipped: neither can
-   reach it.
+3. Candidates. Every passage of every document is projected. Its cosine to each part is measured
+   against the passage's whole length, so words that no item has count against it, but against no more than
+   LONGEST times the part's length: a passage that holds about half of a short part's weight is a candidate whatever
+   stands around it. Passages whose share of item words, or whose projection, is too small for the threshold are
+   skipped: neither can reach it.
 4. Verification. The longest common subsequence of words between the item and the stretch of text
    around its candidates. SEQUENCE_SHARE of the item's words in order is a leak; PARAPHRASE_SHARE is
    one if the item's answer, its last ANSWER_WORDS words, stands there unbroken.
@@ -24,7 +27,6 @@ null id. Equal rows give equal results. Other columns of the inputs are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,6 +42,7 @@ PASSAGE, STEP = 48, 16
 RANK, OVERSAMPLE = 256, 16
 BLOCK_ITEMS, BLOCK_CHARS = 4096, 1 << 19
 SIMILARITY = 0.35
+LONGEST = 1.5
 SEQUENCE_SHARE, PARAPHRASE_SHARE = 0.8, 0.6
 ANSWER_WORDS = 8
 SEGMENT_WORDS = 1 << 15
@@ -55,12 +58,13 @@ def plain_words(text: str | None) -> list[bytes]:
 
 @dataclass
 class Group:
-    """Items of a block that share a latent space of as many directions as their matrix has."""
+    """Parts of a block's items that share a latent space of as many directions as their matrix has."""
 
-    items: np.ndarray  # their numbers in the block
+    items: np.ndarray  # for each part, its item's number in the block
     row: np.ndarray  # row in `directions` of each word of the block; words of other groups have the last
     directions: np.ndarray  # the group's words x rank, times idf; the last row is zero
-    latent: np.ndarray  # items x rank, of unit length in the full space
+    latent: np.ndarray  # parts x rank, of unit length in the full space
+    lengths: np.ndarray  # of the parts in the full space
 
 
 @dataclass
@@ -124,7 +128,7 @@ def _weights(texts: DataFrame, block: Block) -> np.ndarray:
         found[row["word"]] = row["n"]
     total = max(1, int(found[n]))
     weight = np.log((total + 1) / (found + 1)) + 0.01
-    weight[n] = math.log(total + 1) + 0.01
+    weight[n] = np.median(weight[:n])
     return weight
 
 
@@ -188,13 +192,14 @@ def _candidates(at: np.ndarray, block: Block, similarity: float) -> tuple[np.nda
     for group in block.groups:
         row = group.row[where]
         known = passages(np.add.reduceat(np.where(row < len(group.directions) - 1, energy, 0.0), steps))
-        some = np.flatnonzero(known >= similarity ** 2 * length)
+        least = np.minimum(np.sqrt(length), LONGEST * group.lengths.min())
+        some = np.flatnonzero(known >= (similarity * least) ** 2)
         if not len(some):
             continue
         projected = _projected(row, some, steps, group.directions)
-        norm = np.sqrt(length[some])
-        reach = np.flatnonzero(np.sqrt((projected ** 2).sum(axis=1)) >= similarity * norm)
-        cosine = projected[reach] @ group.latent.T / norm[reach, None]
+        reach = np.flatnonzero(np.sqrt((projected ** 2).sum(axis=1)) >= similarity * least[some])
+        norm = np.minimum(np.sqrt(length[some[reach], None]), LONGEST * group.lengths)
+        cosine = np.minimum(projected[reach] @ group.latent.T / norm, 1.0)
         at_row, item = np.nonzero(cosine >= similarity)
         found.append((some[reach[at_row]], group.items[item], cosine[at_row, item]))
     if not found:
@@ -268,12 +273,21 @@ def _block(items: DataFrame, texts: DataFrame, rank: int) -> Block | None:
     place = {w: i for i, w in enumerate(sorted({w for item in words for w in item}))}
     block = Block([r["item_id"] for r in rows], words, place)
     block.weight = _weights(texts, block)
-    block.groups = [_group(texts, block, np.arange(i, min(i + rank, len(words))), rank) for i in range(0, len(words), rank)]
+    parts = [(i, [place[w] for w in part]) for i, item in enumerate(words) for part in _parts(item)]
+    # Parts of a group have about the same length, since the shortest decides which passages are projected.
+    parts.sort(key=lambda x: len(x[1]))
+    block.groups = [_group(texts, block, parts[i:i + rank], rank) for i in range(0, len(parts), rank)]
     return block
 
 
-def _group(texts: DataFrame, block: Block, numbers: np.ndarray, rank: int) -> Group:
-    items = [[block.place[w] for w in block.items[i]] for i in numbers]
+def _parts(item: list[bytes]) -> list[list[bytes]]:
+    """An item in parts of at most PASSAGE words, of nearly equal length."""
+    count = -(-len(item) // PASSAGE)
+    return [item[i * len(item) // count:(i + 1) * len(item) // count] for i in range(count)]
+
+
+def _group(texts: DataFrame, block: Block, parts: list[tuple[int, list[int]]], rank: int) -> Group:
+    numbers, items = np.array([i for i, _ in parts]), [part for _, part in parts]
     used = np.unique(np.concatenate(items))
     row = np.full(len(block.place) + 1, len(used))
     row[used] = np.arange(len(used))
@@ -284,8 +298,9 @@ def _group(texts: DataFrame, block: Block, numbers: np.ndarray, rank: int) -> Gr
     directions = _svd(numbered, len(rows), weight, rank)
     directions = np.vstack([directions * weight[:, None], np.zeros(directions.shape[1])]).astype(np.float32)
     latent = np.stack([directions[r].sum(axis=0) for r in rows])
-    norm = np.sqrt([(weight[r] ** 2).sum() for r in rows])
-    return Group(numbers, row, directions, (latent / norm[:, None]).astype(np.float32))
+    # Length of the vectors of counts times idf: a word that stands in a part twice has twice the weight.
+    norm = np.array([np.sqrt((np.bincount(r, weight[r], len(used)) ** 2).sum()) for r in rows])
+    return Group(numbers, row, directions, (latent / norm[:, None]).astype(np.float32), norm)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",

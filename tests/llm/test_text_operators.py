@@ -326,6 +326,39 @@ def test_more_items_than_directions(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
 
 
+def test_items_of_any_length_in_a_corpus_of_any_size(spark, monkeypatch):
+    """Verbatim copies of items of 12 to 2,000 words are found, also where counts are those of a corpus 100,000 times as large."""
+    rnd = random.Random(9)
+    common, rare = [f"c{i}" for i in range(60)], [f"r{i}" for i in range(20_000)]
+
+    def text(k):
+        return rnd.choices(common, k=k // 2) + rnd.choices(rare, k=k - k // 2)
+
+    items = []
+    for i in range(60):
+        item = text([12, 16, 25, 60, 400, 2000][i % 6])
+        rnd.shuffle(item)
+        items.append((i, " ".join(item)))
+    rows = [(i, " ".join([*text(150), item, *text(150)]), None, None, None, None) for i, item in items]
+    rows += [(1000 + i, " ".join(text(300)), None, None, None, None) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    plain = decontaminate._weights
+
+    def larger(texts, block):
+        weight = plain(texts, block)
+        outside = [w for i in range(60) for w in rows[i][1].encode().split()]
+        found = np.array([1 + outside.count(w) for w in sorted(block.place, key=block.place.get)])
+        total = 100_000 * len(outside)
+        weight[:-1] = np.log((total + 1) / (100_000 * found + 1)) + 0.01
+        weight[-1] = np.median(weight[:-1])
+        return weight
+
+    for weights in (plain, larger):
+        monkeypatch.setattr(decontaminate, "_weights", weights)
+        got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), benchmark).collect()}
+        assert got == {(i, i) for i, _ in items}
+
+
 def test_longest_common_subsequence():
     rnd = random.Random(1)
     for _ in range(60):
