@@ -198,10 +198,11 @@ def _candidates(at: np.ndarray, block: Block, similarity: float) -> tuple[np.nda
             continue
         projected = _projected(row, some, steps, group.directions)
         reach = np.flatnonzero(np.sqrt((projected ** 2).sum(axis=1)) >= similarity * least[some])
-        norm = np.minimum(np.sqrt(length[some[reach], None]), LONGEST * group.lengths)
-        cosine = np.minimum(projected[reach] @ group.latent.T / norm, 1.0)
-        at_row, item = np.nonzero(cosine >= similarity)
-        found.append((some[reach[at_row]], group.items[item], cosine[at_row, item]))
+        norm = np.sqrt(length[some[reach]]).astype(np.float32)
+        dot = projected[reach] @ group.latent.T
+        at_row, item = np.nonzero(dot >= similarity * np.minimum(norm[:, None], LONGEST * group.lengths))
+        cosine = dot[at_row, item] / np.minimum(norm[at_row], LONGEST * group.lengths[item])
+        found.append((some[reach[at_row]], group.items[item], np.minimum(cosine, 1.0)))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -209,17 +210,22 @@ def _candidates(at: np.ndarray, block: Block, similarity: float) -> tuple[np.nda
 
 def _projected(row: np.ndarray, some: np.ndarray, steps: np.ndarray, directions: np.ndarray) -> np.ndarray:
     """Projections of the passages `some` of words whose rows in `directions` are given."""
-    # Only steps of those passages are projected.
-    used = np.unique(np.minimum((some[:, None] + np.arange(PASSAGE // STEP)).ravel(), len(steps) - 1))
-    mine = np.zeros(len(steps), dtype=bool)
-    mine[used] = True
-    words = np.flatnonzero(mine[np.arange(len(row)) // STEP])
-    begins = np.searchsorted(words, steps[used])
-    sums = np.zeros((len(steps), directions.shape[1]), np.float32)
-    sums[used] = np.add.reduceat(directions[row[words]], begins, axis=0)
-    ends = [np.minimum(some + i, len(steps) - 1) for i in range(PASSAGE // STEP)]
-    inside = [(some + i < len(steps))[:, None] for i in range(PASSAGE // STEP)]
-    return sum(sums[e] * i for e, i in zip(ends, inside, strict=True))
+    # Only steps of those passages are projected, and of them the words that the group has.
+    span = PASSAGE // STEP
+    mine = np.zeros(len(steps) + span, dtype=bool)
+    for i in range(span):
+        mine[some + i] = True
+    words = np.flatnonzero(mine[np.arange(len(row)) // STEP] & (row < len(directions) - 1))
+    # Steps behind the last one, and those without such words, stay zero.
+    sums = np.zeros((len(steps) + span, directions.shape[1]), np.float32)
+    if len(words):
+        step = words // STEP
+        first = np.flatnonzero(np.diff(step, prepend=-1))
+        sums[step[first]] = np.add.reduceat(directions[row[words]], first, axis=0)
+    out = sums[some]
+    for i in range(1, span):
+        out += sums[some + i]
+    return out
 
 
 def find_leaks(words: list[bytes], block: Block, similarity: float) -> list[tuple[int, float, int, str]]:
@@ -246,6 +252,9 @@ def find_leaks(words: list[bytes], block: Block, similarity: float) -> list[tupl
             item_words = block.items[i]
             m = len(item_words)
             around = words[max(0, begin + low - m):begin + high + m]
+            # As many of the item's words as stand there at all bound the subsequence.
+            if sum(map(set(around).__contains__, item_words)) < PARAPHRASE_SHARE * m:
+                continue
             common = longest_common(item_words, around)
             if common >= SEQUENCE_SHARE * m:
                 how = "sequence"
@@ -300,7 +309,7 @@ def _group(texts: DataFrame, block: Block, parts: list[tuple[int, list[int]]], r
     latent = np.stack([directions[r].sum(axis=0) for r in rows])
     # Length of the vectors of counts times idf: a word that stands in a part twice has twice the weight.
     norm = np.array([np.sqrt((np.bincount(r, weight[r], len(used)) ** 2).sum()) for r in rows])
-    return Group(numbers, row, directions, (latent / norm[:, None]).astype(np.float32), norm)
+    return Group(numbers, row, directions, (latent / norm[:, None]).astype(np.float32), norm.astype(np.float32))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text",
