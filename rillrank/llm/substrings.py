@@ -13,7 +13,9 @@ least `min_words` equal words are maximal repeats. Where the first holder has th
 Rest. A window whose anchor is shared but which its anchor's first holder does not hold may still
 stand in another document. Whether it is in this rest depends on the window's words alone, so all its
 occurrences are: they are grouped by hash, and those with a smaller id elsewhere go. This makes the
-result exact. Words and windows are compared by 64-bit hashes.
+result exact. A document names each such window once, with the words that all its places cover: a text
+that repeats a few words has a handful of windows, however long it is. Words and windows are compared
+by 64-bit hashes.
 
 Documents without an id, or with fewer than `min_words` words (null and empty texts have none), are
 kept as they are. Repeats inside one document, and between rows of equal id, are kept: only a smaller
@@ -124,8 +126,21 @@ def _along(hashes: np.ndarray, other: np.ndarray, shift: int, min_words: int) ->
     return total[min_words:] - total[:-min_words] == min_words
 
 
+def _places(keys: np.ndarray, starts: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """Each distinct window once: its hash, how many stretches of words its places cover, and all stretches'
+    begins and ends. `starts` ascend."""
+    order = np.argsort(keys, kind="stable")
+    keys, starts = keys[order], starts[order]
+    other = np.diff(keys, prepend=0) != 0
+    other[:1] = True
+    apart = other | (np.diff(starts, prepend=0) > min_words)
+    first = np.flatnonzero(apart)
+    ends = starts[np.append(first[1:], len(starts)) - 1] + min_words if len(first) else starts
+    return keys[other], np.diff(np.flatnonzero(np.append(other[first], True))), starts[first], ends
+
+
 def _extend(doc: int, rid: int, text: str, links: list[dict], min_words: int):
-    """Covered runs, and the hashes and starts of windows their anchors' first holders do not hold."""
+    """Covered runs, and the places of windows their anchors' first holders do not hold."""
     hashes = text_hashes(text)
     anchor, n = winnow(hashes, min_words), len(hashes)
     remove, rest = np.zeros(len(anchor), dtype=bool), np.zeros(len(anchor), dtype=bool)
@@ -140,28 +155,34 @@ def _extend(doc: int, rid: int, text: str, links: list[dict], min_words: int):
         rest |= np.isin(anchor, link["places"]) & ~equal
     left = np.flatnonzero(rest)
     return (runs(covered(np.flatnonzero(remove), min_words, n)),
-            window_hashes(hashes, min_words)[left].view(np.int64), left)
+            _places(window_hashes(hashes, min_words)[left].view(np.int64), left, min_words))
 
 
 def _extended(linked: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            docs, rids, spans, keys, starts = [], [], [], [], []
+            docs, rids, spans, places = [], [], [], []
             for x in batch.to_pylist():
-                cover, key, start = _extend(x["doc"], x["rid"], x["text"], x["links"], min_words)
+                cover, found = _extend(x["doc"], x["rid"], x["text"], x["links"], min_words)
                 docs.append(x["doc"])
                 rids.append(x["rid"])
                 spans.append([{"begin": a, "end": b} for a, b in cover])
-                keys.append(key)
-                starts.append(start)
+                places.append(found)
+            if not places:
+                continue
+            keys, counts, begins, ends = (np.concatenate(x) for x in zip(*places, strict=True))
+            of_rows = np.cumsum([0, *(len(p[0]) for p in places)]).astype(np.int32)
+            of_keys = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            stretches = pa.StructArray.from_arrays([pa.array(begins), pa.array(ends)], names=["begin", "end"])
             yield pa.RecordBatch.from_arrays([
                 pa.array(docs, pa.int64()), pa.array(rids, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                pa.array(keys, pa.list_(pa.int64())), pa.array(starts, pa.list_(pa.int64()))],
-                names=["doc", "rid", "spans", "keys", "starts"])
+                pa.ListArray.from_arrays(of_rows, pa.array(keys)),
+                pa.ListArray.from_arrays(of_rows, pa.ListArray.from_arrays(of_keys, stretches))],
+                names=["doc", "rid", "spans", "keys", "places"])
 
     return map_batches(linked, run, "doc bigint, rid bigint, spans array<struct<begin:bigint,end:bigint>>, "
-                                  "keys array<bigint>, starts array<bigint>")
+                                  "keys array<bigint>, places array<array<struct<begin:bigint,end:bigint>>>")
 
 
 def repeats(docs: DataFrame, id_column: str, text: str, min_words: int = MIN_WORDS,
@@ -192,13 +213,12 @@ def repeats(docs: DataFrame, id_column: str, text: str, min_words: int = MIN_WOR
     held = from_others.unionByName(in_itself).groupBy("doc", "rid").agg(
         F.collect_list(F.struct("first_doc", "diagonal", "places", "begin", "segment")).alias("links"))
     extended = saved(_extended(held.join(texts, "rid").select("doc", "rid", "text", "links"), min_words), "extended")
-    rest = extended.select("doc", "rid", F.explode(F.arrays_zip("keys", "starts")).alias("w")).select(
-        "doc", "rid", F.col("w.keys").alias("key"), F.col("w.starts").alias("begin"))
+    rest = extended.select("doc", "rid", F.explode(F.arrays_zip("keys", "places")).alias("w")).select(
+        "doc", "rid", F.col("w.keys").alias("key"), F.col("w.places").alias("places"))
     earliest = saved(rest.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("last"))
                      .where(F.col("least") < F.col("last")).select("key", "least"), "rest-windows")
-    late = rest.join(earliest, "key").where(F.col("least") < F.col("doc")).select(
-        "rid", "begin", (F.col("begin") + min_words).alias("end"))
-    spans = extended.select("rid", F.explode("spans").alias("s")).select("rid", "s.begin", "s.end").union(late)
+    late = rest.join(earliest, "key").where(F.col("least") < F.col("doc")).select("rid", F.explode("places").alias("s"))
+    spans = extended.select("rid", F.explode("spans").alias("s")).union(late).select("rid", "s.begin", "s.end")
     return saved(spans.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")),
                  "spans")
 

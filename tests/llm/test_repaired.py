@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from rillrank.llm import decontaminate, language, lm, near_dup, substrings, urls, words
-from tests.llm.test_text_operators import brute_components
+from tests.llm.test_text_operators import brute_components, brute_repeats
 from tests.llm.texts import frame
 
 
@@ -117,3 +117,24 @@ def test_url_verdicts_keep_columns_with_the_names_they_use_themselves(spark):
     listed = spark.createDataFrame([("a.net/x",)], "canonical string")
     got = urls.url_verdicts(pages, (), listed).collect()
     assert sorted((r.page_id, r.verdict, r._H, r._block, r._KEY) for r in got) == [(1, "block", 7, "b", "k"), (2, "allow", 8, "b", "k")]
+
+
+def test_a_window_left_over_is_joined_once_per_document(spark, monkeypatch):
+    """Long texts of one repeated pair, and a passage that stands twice, far apart, in each of several documents."""
+    rnd = random.Random(5)
+    passage = text_of(rnd, 60, "p")
+    rows = [(i, f"{text_of(rnd, 20)} {'a b ' * (100 + i)}{text_of(rnd, 20)}") for i in range(8)]
+    rows += [(20 + i, " ".join([text_of(rnd, 9), passage, text_of(rnd, 30), passage, text_of(rnd, 9)])) for i in range(4)]
+    rows += [(10, " ".join(passage.split()[5:40]) + " " + text_of(rnd, 30))]  # holds anchors, no window
+    tables, write = {}, substrings.saved
+
+    def saved(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(substrings, "saved", saved)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = substrings.remove_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_repeats(rows, 50)
+    keys = {r.rid: r["keys"] for r in tables["extended"].collect()}
+    assert sum(map(len, keys.values())) and all(len(set(k)) == len(k) for k in keys.values())
