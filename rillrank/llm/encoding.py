@@ -4,9 +4,9 @@ The byte-level tokenizers used here cut a text at white space before they look f
 is encoded piece by piece: a piece is a run of ASCII spaces with the word that follows, or the word
 alone where the tokenizer drops spaces and case. Frequent pieces come from a bounded memo of the
 task's process. New pieces are joined, encoded together, and told apart by the bytes their tokens
-stand for. Words of ASCII letters need neither the tokenizer's normalising nor its pattern: they go to
-its merges directly, and a punctuation mark after such a word has ids of its own. Texts holding other
-white space or the text of a special token are encoded whole.
+stand for. Words of letters need neither the tokenizer's normalising nor its pattern: they go to its
+merges directly, and a run of punctuation marks after such a word has ids of its own. Texts holding
+other white space or the text of a special token are encoded whole.
 """
 
 from __future__ import annotations
@@ -31,8 +31,13 @@ MAX_PIECES = 3 << 18
 GROUP_CHARS = 1 << 20
 JOINED = 256
 WORD_END = "</w>"
-#: Marks that every tokenizer here parts from the letters before them.
-MARKS = b",.;:!?"
+#: Letters up to U+024F, and runs of marks that every tokenizer here parts from the letters before them. Without the
+#: apostrophe, which some take together with letters.
+_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])++"
+_MARKS = rb"[!-&(-/:-@\[-`{-~]*+"
+#: A word and the marks after it, where the tokenizer ends words itself, lower-cased, and where spaces begin them.
+_ENDED_WORD = re.compile(rb"([a-z]++)" + _MARKS)
+_SPACED_WORD = re.compile(rb"( " + _LETTERS + rb")" + _MARKS)
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Where one of these stands beside another space or at an end, pieces are found by pattern.
@@ -56,11 +61,11 @@ class Encoder:
             self.bytes_of[i] = len(token.removesuffix(WORD_END) if self.word_ends else token)
         self.space = b" " if self.word_ends else b""
         self.letters = self._for_letters(path)
-        self.marks = {m: self._whole(chr(m)) for m in MARKS}
+        self.word = _ENDED_WORD if self.word_ends else _SPACED_WORD
         self.known: dict[bytes, bytes] = {}
 
     def _for_letters(self, path: str) -> Tokenizer:
-        """The tokenizer's merges for words of ASCII letters, which its pattern leaves whole."""
+        """The tokenizer's merges for words of letters, which its pattern leaves whole."""
         out = Tokenizer.from_file(path)
         if self.word_ends:
             out.normalizer = Normalizers([])
@@ -94,27 +99,26 @@ class Encoder:
         text = piece.decode()
         return text == text.lower() and unicodedata.is_normalized("NFC", text)
 
-    def _is_word(self, piece: bytes) -> bool:
-        return piece.isalpha() if self.word_ends else piece[0] == 0x20 and piece[1:].isalpha()
-
     def _learn(self, pieces: list[bytes]) -> None:
         words, marked, joined, alone = [], [], [], []
         for p in pieces:
-            if self._is_word(p):
-                words.append(p)
-            elif p[-1] in MARKS and len(p) > 1 and self._is_word(p[:-1]):
-                marked.append(p)
+            if m := self.word.fullmatch(p):
+                end = m.end(1)
+                if end == len(p):
+                    words.append(p)
+                else:
+                    marked.append((p, p[:end], p[end:]))
             elif self._joins(p):
                 joined.append(p)
             else:
                 alone.append(p)
         known = self.known
         known.update(self._joined(self.letters, words))
-        before = {p[:-1] for p in marked}
-        unmarked = dict(self._joined(self.letters, list(before.difference(known))))
-        for p in marked:
-            core = p[:-1]
-            known[p] = (unmarked.get(core) or known[core]) + self.marks[p[-1]]
+        unmarked = dict(self._joined(self.letters, list({core for _, core, _ in marked}.difference(known))))
+        for p, core, marks in marked:
+            if marks not in known:
+                known[marks] = self._whole(marks.decode())
+            known[p] = (unmarked.get(core) or known[core]) + known[marks]
         known.update(self._joined(self.tokenizer, joined))
         got = self.tokenizer.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)
         known.update(zip(alone, (np.array(x.ids, "<u4").tobytes() for x in got), strict=True))

@@ -6,11 +6,12 @@ import collections
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from rillrank.llm import decontaminate, language, lm, near_dup, substrings, urls, words
+from rillrank.llm import decontaminate, encoding, language, lm, near_dup, substrings, urls, words
 from tests.llm.test_text_operators import brute_components, brute_repeats
 from tests.llm.texts import frame
 
@@ -138,3 +139,25 @@ def test_a_window_left_over_is_joined_once_per_document(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_repeats(rows, 50)
     keys = {r.rid: r["keys"] for r in tables["extended"].collect()}
     assert sum(map(len, keys.values())) and all(len(set(k)) == len(k) for k in keys.values())
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_with_marks_go_to_the_merges(name, monkeypatch):
+    """Every letter that counts as one and every two marks after a word: ids are the tokenizer's own."""
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    text = "start " + " ".join([f"la{c}te{c}" for c in letters] + [f"word{a}{b}" for a in marks for b in marks])
+    encoder = encoding.Encoder(public_tokenizers.path(name), 7)
+    assert [x.tolist() for x in encoder.encode([text, "a's. b's'"])] == [
+        [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 7] for t in (text, "a's. b's'")]
+    by_pattern, joined = [], encoding.Encoder._joined
+
+    def recorded(self, tokenizer, pieces):
+        if tokenizer is self.tokenizer:
+            by_pattern.extend(pieces)
+        return joined(self, tokenizer, pieces)
+
+    monkeypatch.setattr(encoding.Encoder, "_joined", recorded)
+    text = "le" + " plain word*** other%%% last.$$$" + " \u00e9dition r\u00e9gion, stra\u00dfe***" * (not encoder.word_ends)
+    list(encoding.Encoder(public_tokenizers.path(name), 7).encode([text]))
+    assert by_pattern == []
